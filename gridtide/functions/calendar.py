@@ -47,7 +47,7 @@ def calendar_attributes(day: Column) -> dict[str, Column]:
 
 def time_attributes(quarter_id: Column) -> dict[str, Column]:
     """The attributes of a quarter hour, numbered 0..95 from midnight."""
-    hour = F.floor(quarter_id / 4)
+    hour = F.call_function("div", quarter_id, F.lit(4))
     quarter = quarter_id % 4
     minute = quarter * 15
     return {
@@ -68,3 +68,8 @@ def floor_to_quarter_hour(moment: Column) -> Column:
 def time_of_day_text(moment: Column) -> Column:
     """``HH:mm:ss``; a fraction of a second is cut off."""
     return F.date_format(moment, "HH:mm:ss")
+
+
+def second_of_day(moment: Column) -> Column:
+    """The same as a number: seconds since midnight, without the fraction."""
+    return F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)

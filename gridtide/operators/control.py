@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.typing import clock, iso_text
 from ..schemas import CONTROL
+from .dims import literal_rows
 
 # Defaults of the optional columns.
 DEFAULT_PAGE_SIZE = 5000
@@ -21,10 +22,15 @@ REQUIRED = (
 )
 
 # First rows of an environment, with columns SEED_COLUMNS.
-SEED_COLUMNS = (
-    "source_dataset_id int, source_dataset_name string, last_timestamp string, "
-    "refresh_timestamp string, target_container string, page_size int, load_increment_days int"
-)
+SEED_COLUMNS = {
+    "source_dataset_id": "int",
+    "source_dataset_name": "string",
+    "last_timestamp": "timestamp",
+    "refresh_timestamp": "timestamp",
+    "target_container": "string",
+    "page_size": "int",
+    "load_increment_days": "int",
+}
 SEED_ROWS = [
     (358, "Electricity consumption", "2025-01-01T00:00:00", "2025-05-17T11:54:00", "landing", 1000, 20),
     (248, "Solar power generation", "2025-01-01T00:00:00", "2025-05-17T11:50:00", "landing", 1000, 20),
@@ -32,9 +38,9 @@ SEED_ROWS = [
 ]
 
 
-def default_seed(spark, source_system: str = "grid operator") -> DataFrame:
+def default_seed(spark: SparkSession, source_system: str = "grid operator") -> DataFrame:
     """The three first datasets; the folder follows from the dataset name."""
-    rows = spark.createDataFrame(SEED_ROWS, SEED_COLUMNS)
+    rows = literal_rows(spark, SEED_ROWS, **SEED_COLUMNS)
     return rows.select(
         F.lit(source_system).alias("source_system"),
         "*",
@@ -77,13 +83,13 @@ def bootstrap(
     environment: str,
     now: Column | None = None,
 ) -> DataFrame:
-    """Existing rows, and the seed if its environment has none yet.
+    """Existing rows, and the seed if the environment has none yet.
 
     New ids lie above all given ones. As with any identity column they are
     unique and may have gaps, which spares a global numbering.
     """
-    known = existing.select("environment").distinct()
-    fresh = with_defaults(seed, environment, now).join(known, "environment", "left_anti")
+    known = existing.where(F.col("environment") == environment).agg(F.count(F.lit(1))).scalar()
+    fresh = with_defaults(seed, environment, now).where(known == 0)
     highest = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     numbered = fresh.withColumn("id", highest + 1 + F.monotonically_increasing_id())
     return existing.unionByName(numbered.select(*CONTROL.fieldNames()))

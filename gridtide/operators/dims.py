@@ -20,6 +20,17 @@ GENERATE_TYPES = [
 ]
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], **columns: str) -> DataFrame:
+    """A few fixed rows inside the plan, so that Catalyst knows their size."""
+    entries = F.array(
+        *[
+            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())])
+            for row in rows
+        ]
+    )
+    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(entries))
+
+
 def dim_date(
     spark: SparkSession,
     start: dt.date = CALENDAR_START,
@@ -42,6 +53,6 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 
 def dim_generate_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        GENERATE_TYPES, "dataset_id bigint, generate_type string, update_frequency string"
+    return literal_rows(
+        spark, GENERATE_TYPES, dataset_id="bigint", generate_type="string", update_frequency="string"
     )

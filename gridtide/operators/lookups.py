@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import floor_to_quarter_hour, time_of_day_text
+from ..functions.calendar import floor_to_quarter_hour, second_of_day
 from ..functions.typing import clock
 
 # A dimension is broadcast only while its size, as Catalyst estimates it, stays
@@ -18,8 +18,8 @@ def estimated_bytes(frame: DataFrame) -> int:
     return int(plan.stats().sizeInBytes())
 
 
-def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    return F.broadcast(frame) if estimated_bytes(frame) <= limit else frame
+def broadcast_if_small(frame: DataFrame) -> DataFrame:
+    return F.broadcast(frame) if estimated_bytes(frame) <= BROADCAST_LIMIT_BYTES else frame
 
 
 def with_time_keys(
@@ -33,17 +33,23 @@ def with_time_keys(
     Readings stay on the left of both joins, so every one is kept: a day
     outside the calendar or a start that is not on a quarter hour gets a NULL
     key. With ``floor`` the time is looked up for the quarter hour it lies in.
+
+    A start matches a quarter hour if both read the same as ``HH:mm:ss``. That
+    is compared as a number of seconds, which spares a text per reading.
     """
     start = F.col("start_time")
     moment = floor_to_quarter_hour(start) if floor else start
     date_keys = dates.select("date", F.col("date_id").alias("start_date_id"))
-    time_keys = times.select("time_15min", F.col("time_quarter_id").alias("start_time_id"))
+    time_keys = times.select(
+        (F.col("hour") * 3600 + F.col("minute") * 60).cast("int").alias("_second"),
+        F.col("time_quarter_id").alias("start_time_id"),
+    )
     return (
         readings.withColumn("date", start.cast("date"))
-        .withColumn("time_15min", time_of_day_text(moment))
+        .withColumn("_second", second_of_day(moment))
         .join(broadcast_if_small(date_keys), "date", "left")
-        .join(broadcast_if_small(time_keys), "time_15min", "left")
-        .drop("date", "time_15min")
+        .join(broadcast_if_small(time_keys), "_second", "left")
+        .drop("date", "_second")
     )
 
 

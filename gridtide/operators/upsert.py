@@ -35,8 +35,12 @@ def latest_per_key(
     NULL keys count as equal and NULL values of the newest row stay NULL. The
     rank filter is planned as a group limit on both sides of the shuffle: each
     map task sends at most one row per key, so a hot key costs its reducer one
-    row per task and not its whole history.
+    row per task and not its whole history. Without columns besides keys and
+    sequence the newest row is just the maximum, a hash aggregation.
     """
+    if set(changes.columns) == {*keys, sequence_by}:
+        newest = changes.groupBy(*keys).agg(F.max(sequence_by).alias(sequence_by))
+        return newest.select(*changes.columns)
     rank = F.row_number().over(
         Window.partitionBy(*keys).orderBy(*newest_first(changes.columns, keys, sequence_by))
     )

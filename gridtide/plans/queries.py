@@ -18,7 +18,7 @@ from ..operators.upsert import CONSUMPTION_KEYS, CUSTOMER_TYPE_KEYS, GENERATION_
 from ..schemas import BRONZE, CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import join_path, pin, work_folder
 from ..sources.landing import read_landing, write_landing
-from ..sources.tables import ensure_folder, read_table, stream_table, write_static
+from ..sources.tables import empty_table, ensure_folder, read_table, stream_table, write_static
 from ..streaming.bronze import run_bronze
 from ..streaming.gold import (
     dim_customer_type_table,
@@ -506,7 +506,7 @@ def star_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
 def control_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeding an empty table, then seeding again, which changes nothing."""
     seed = event_control(spark, sf_dir)
-    empty = spark.createDataFrame([], CONTROL)
+    empty = empty_table(spark, CONTROL)
     once = control.bootstrap(empty, seed, "dev")
     return control.bootstrap(once, seed, "dev").drop("id", "created_date")
 
@@ -545,7 +545,7 @@ def plan_batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every active dataset moves to the end of its newest reading."""
     rows = control.bootstrap(
-        spark.createDataFrame([], CONTROL), event_control(spark, sf_dir), "dev"
+        empty_table(spark, CONTROL), event_control(spark, sf_dir), "dev"
     )
     loaded = event_feed(spark, sf_dir).join(
         _active(spark, sf_dir).select("source_dataset_id"), "source_dataset_id", "left_semi"

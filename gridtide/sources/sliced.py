@@ -22,14 +22,14 @@ from pyspark.sql import types as T
 
 from ..schemas import LONG, TEXT, table_of
 from ..session import join_path
-from .tables import delete_folder, path_exists
+from .tables import delete_folder, empty_table, path_exists
 
 VERSION_ROWS = table_of(slice=LONG, data_version=LONG, writer=TEXT, batch_id=LONG, v=LONG)
 
 
 def month_slices(date_key: str) -> Callable[[], Column]:
     """One slice per month of a ``yyyyMMdd`` key, and slice 0 for NULL."""
-    return lambda: F.coalesce(F.floor(F.col(date_key) / 100), F.lit(0)).cast("bigint")
+    return lambda: F.coalesce(F.call_function("div", F.col(date_key), F.lit(100)), F.lit(0))
 
 
 def hash_slices(keys: Sequence[str], n: int) -> Callable[[], Column]:
@@ -105,7 +105,7 @@ class SlicedTable:
         wanted = known if slices is None else [s for s in slices if s in known]
         folders = [join_path(self._data, f"v={known[s]}", f"slice={s}") for s in wanted]
         if not folders:
-            return spark.createDataFrame([], self.schema)
+            return empty_table(spark, self.schema)
         return spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(*folders)
 
     def touched(self, changes: DataFrame) -> list[int]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,6 +29,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows; Catalyst sees that and drops the branch from a plan."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*columns).limit(0)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A snapshot of a layer table."""
     return spark.read.schema(schema).parquet(path)

@@ -1,0 +1,168 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtide.config import Layout
+from gridtide.operators import control
+from gridtide.operators.windows import assign_windows, batch_name, plan_windows
+from gridtide.plans.pipeline import ensure_control, marks_at, marks_of
+from gridtide.schemas import CONTROL
+from gridtide.sources.landing import read_landing, write_landing
+from gridtide.sources.tables import empty_table
+
+
+def at(text):
+    return F.lit(text).cast("timestamp")
+
+
+def seeded(spark, environment="dev", existing=None):
+    existing = existing or empty_table(spark, CONTROL)
+    return control.bootstrap(existing, control.default_seed(spark), environment, at("2025-03-01"))
+
+
+def test_bootstrap_fills_defaults(spark):
+    got = seeded(spark).orderBy("source_dataset_id").collect()
+    assert [r.source_dataset_id for r in got] == [245, 248, 358]
+    assert len({r.id for r in got}) == 3 and min(r.id for r in got) >= 1
+    assert {(r.page_size, r.load_increment_days, r.environment, r.is_active) for r in got} == {
+        (1000, 20, "dev", True)
+    }
+    assert got[0].target_folder == "wind_power_generation"
+    assert got[0].created_date == dt.datetime(2025, 3, 1)
+    bare = control.default_seed(spark).drop("page_size", "load_increment_days", "last_timestamp")
+    row = control.with_defaults(bare, "test").first()
+    assert (row.page_size, row.load_increment_days, row.last_timestamp) == (5000, 1, None)
+    assert row.environment == "test"
+
+
+def test_bootstrap_once_per_environment(spark, rows):
+    once = seeded(spark).cache()
+    assert rows(seeded(spark, existing=once)) == rows(once)
+    both = seeded(spark, "test", once)
+    assert both.count() == 6
+    assert both.select("id").distinct().count() == 6
+    assert both.where("environment = 'dev'").agg(F.max("id")).first()[0] < (
+        both.where("environment = 'test'").agg(F.min("id")).first()[0]
+    )
+
+
+def test_required_columns(spark):
+    seed = control.default_seed(spark).withColumn("source_dataset_id", F.lit(None).cast("int"))
+    with pytest.raises(Exception, match="source_dataset_id must not be NULL"):
+        control.with_defaults(seed, "dev").collect()
+
+
+def test_lookup(spark, rows):
+    table = seeded(spark).withColumn("is_active", F.col("source_dataset_id") != 248)
+    assert rows(control.active_datasets(table, "dev")) == [
+        (245, "Wind power generation", "2025-01-01T00:00:00", "wind_power_generation", 20, 1000),
+        (358, "Electricity consumption", "2025-01-01T00:00:00", "electricity_consumption", 20, 1000),
+    ]
+    assert control.active_datasets(table, "prod").count() == 0
+
+
+def active(spark, *rows):
+    columns = "source_dataset_id int, source_dataset_name string, last_timestamp string, load_increment_days int"
+    return spark.createDataFrame(rows, columns)
+
+
+def test_plan(spark, rows):
+    datasets = active(
+        spark,
+        (1, "a", "2025-01-01T00:00:00", 20),
+        (2, "b", "2025-02-15T12:00:00", 1),  # equal to now
+        (3, "c", "2025-03-01T00:00:00", 1),  # after now
+        (4, "d", "2025-02-14T12:00:00", 1),  # exactly one window
+        (5, "e", None, 1),
+    )
+    got = plan_windows(datasets, at("2025-02-15 12:00:00"))
+    assert rows(got.select("source_dataset_id", batch_name(F.col("window_start"), F.col("window_end")))) == [
+        (1, "20250101T000000Z_to_20250121T000000Z"),
+        (1, "20250121T000000Z_to_20250210T000000Z"),
+        (1, "20250210T000000Z_to_20250215T120000Z"),
+        (4, "20250214T120000Z_to_20250215T120000Z"),
+    ]
+
+
+FIELDS = "source_dataset_id int, datasetId string, startTime string, endTime string, value string, additionalJson string"
+
+
+def records(spark, *starts, dataset=1):
+    return spark.createDataFrame(
+        [(dataset, str(dataset), s, "2025-01-01T01:00:00Z", str(i), None) for i, s in enumerate(starts)],
+        FIELDS,
+    )
+
+
+def test_assigned_windows_are_the_planned_ones(spark, rows):
+    datasets = active(spark, (1, "a", "2025-01-01T00:00:00", 2), (2, "b", "2025-01-01T00:00:00", 3))
+    now = at("2025-01-08 06:00:00")
+    starts = [f"2025-01-{d:02d}T{h:02d}:00:00Z" for d in range(1, 9) for h in (0, 5, 23)]
+    starts.append("2024-12-31T23:59:59.999999Z")
+    feed = records(spark, *starts).unionByName(records(spark, *starts, dataset=2))
+    got = assign_windows(feed, datasets, now)
+    planned = plan_windows(datasets, now)
+    inside = (F.col("moment") >= F.col("window_start")) & (F.col("moment") < F.col("window_end"))
+    compared = (
+        feed.withColumn("moment", F.col("startTime").cast("timestamp"))
+        .join(planned, "source_dataset_id")
+        .where(inside)
+    )
+    columns = ("source_dataset_id", "startTime", "window_start", "window_end")
+    assert rows(got, *columns) == rows(compared, *columns)
+    assert got.count() == 2 * 23
+
+
+def test_records_without_time_are_kept(spark, rows):
+    datasets = active(spark, (1, "a", "2025-01-01T00:00:00", 2))
+    got = assign_windows(records(spark, None, "garbage"), datasets, at("2025-01-08 06:00:00"))
+    assert rows(got, "value", F.col("window_start").cast("string")) == [
+        ("0", "2025-01-07 00:00:00"), ("1", "2025-01-07 00:00:00"),
+    ]
+
+
+def test_landing_again_replaces_only_its_windows(spark, rows, tmp_path):
+    root = str(tmp_path / "landing")
+    datasets = active(spark, (1, "Feed one", "2025-01-01T00:00:00", 2))
+    now = at("2025-01-05")
+    first = records(spark, "2025-01-01T00:00:00Z", "2025-01-01T05:00:00Z", "2025-01-04T00:00:00Z")
+    write_landing(assign_windows(first, datasets, now), root)
+    again = records(spark, "2025-01-02T00:00:00Z")
+    write_landing(assign_windows(again, datasets, now), root)
+    assert rows(read_landing(spark, root), "startTime") == [
+        ("2025-01-02T00:00:00Z",), ("2025-01-04T00:00:00Z",),
+    ]
+    folders = sorted(p.name for p in (tmp_path / "landing" / "dataset=1_feed_one").iterdir())
+    assert folders == [
+        "batch=20250101T000000Z_to_20250103T000000Z",
+        "batch=20250103T000000Z_to_20250105T000000Z",
+    ]
+
+
+def test_watermark(spark, rows):
+    table = seeded(spark, "test", seeded(spark))
+    got = control.advance_watermark(
+        table, marks_at(control.active_datasets(table, "dev").where("source_dataset_id = 245"), "dev", at("2025-06-01"))
+    )
+    assert got.columns == CONTROL.fieldNames()
+    moved = got.where("last_timestamp = timestamp'2025-06-01'")
+    assert rows(moved, "source_dataset_id", "environment") == [(245, "dev")]
+    assert got.count() == 6
+    newest = marks_of(records(spark, "x", "y"), "dev")
+    assert rows(newest.select("source_dataset_id", F.col("mark").cast("string"))) == [
+        (1, "2025-01-01 01:00:00")
+    ]
+
+
+def test_stored_control_table(spark, rows, tmp_path):
+    layout = Layout(str(tmp_path), "dev")
+    table = ensure_control(spark, layout, control.default_seed(spark), at("2025-03-01"))
+    first = rows(table.read(spark))
+    again = ensure_control(spark, layout, control.default_seed(spark), at("2025-04-01"))
+    assert rows(again.read(spark)) == first
+    marks = marks_at(control.active_datasets(table.read(spark), "dev"), "dev", at("2025-05-01"))
+    table.replace(spark, control.advance_watermark(table.read(spark), marks))
+    assert rows(table.read(spark).select(F.col("last_timestamp").cast("string")).distinct()) == [
+        ("2025-05-01 00:00:00",)
+    ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.typing import clock, iso_text
 from ..schemas import CONTROL
-from .dims import literal_rows
+from ..sources.tables import literal_rows
 
 # Defaults of the optional columns.
 DEFAULT_PAGE_SIZE = 5000

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_attributes, time_attributes
+from ..sources.tables import literal_rows
 
 # The span of the calendar.
 CALENDAR_START = dt.date(2020, 1, 1)
@@ -20,17 +21,6 @@ GENERATE_TYPES = [
 ]
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], **columns: str) -> DataFrame:
-    """A few fixed rows inside the plan, so that Catalyst knows their size."""
-    entries = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())])
-            for row in rows
-        ]
-    )
-    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(entries))
-
-
 def dim_date(
     spark: SparkSession,
     start: dt.date = CALENDAR_START,

@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 
 from ..schemas import LONG, TEXT, table_of
 from ..session import join_path
-from .tables import delete_folder, empty_table, path_exists
+from .tables import delete_folder, empty_table, folder_entries, literal_rows
 
-VERSION_ROWS = table_of(slice=LONG, data_version=LONG, writer=TEXT, batch_id=LONG, v=LONG)
+VERSION_ROWS = table_of(slice=LONG, data_version=LONG, writer=TEXT, batch_id=LONG)
 
 
 def month_slices(date_key: str) -> Callable[[], Column]:
@@ -67,32 +67,25 @@ class SlicedTable:
 
     def create(self, spark: SparkSession) -> None:
         """Declare the table; does nothing where it exists."""
-        if not path_exists(spark, self._versions):
+        if self.snapshot(spark) == EMPTY:
             self._commit(spark, Snapshot(0, {}))
 
     def snapshot(self, spark: SparkSession) -> Snapshot:
-        """The newest version; each one lists all slices it is made of."""
-        if not path_exists(spark, self._versions):
-            return EMPTY
-        listed = spark.read.schema(VERSION_ROWS).parquet(self._versions)
-        newest = listed.groupBy("slice").agg(
-            F.max("v").alias("v"),
-            F.max_by(F.struct("data_version", "writer", "batch_id"), "v").alias("row"),
-        )
-        rows = newest.collect()  # one row per slice
-        if not rows:
-            return Snapshot(0, {})
-        last = max(rows, key=lambda r: r.v)
-        return Snapshot(
-            last.v,
-            {
-                r.slice: r.row.data_version
-                for r in rows
-                if r.slice is not None and r.v == last.v
-            },
-            last.row.writer,
-            last.row.batch_id,
-        )
+        """The newest committed version; each one lists all slices it is made of."""
+        for version in sorted(self._numbered(spark), reverse=True):
+            folder = self._version_folder(version)
+            if any(name.startswith("part-") for name in folder_entries(spark, folder)):
+                rows = spark.read.schema(VERSION_ROWS).parquet(folder).collect()  # one per slice
+                slices = {r.slice: r.data_version for r in rows if r.slice is not None}
+                return Snapshot(version, slices, rows[0].writer, rows[0].batch_id)
+        return EMPTY
+
+    def _numbered(self, spark: SparkSession) -> list[int]:
+        names = folder_entries(spark, self._versions)
+        return [int(name[2:]) for name in names if name.startswith("v=")]
+
+    def _version_folder(self, version: int) -> str:
+        return join_path(self._versions, f"v={version}")
 
     def read(
         self,
@@ -150,27 +143,25 @@ class SlicedTable:
             (slice_, version, snapshot.writer, snapshot.batch_id)
             for slice_, version in snapshot.slices.items()
         ] or [(None, snapshot.version, snapshot.writer, snapshot.batch_id)]
-        frame = spark.createDataFrame(rows, T.StructType(VERSION_ROWS.fields[:-1]))
-        folder = join_path(self._versions, f"v={snapshot.version}")
-        frame.coalesce(1).write.mode("overwrite").parquet(folder)
+        kinds = {field.name: field.dataType.simpleString() for field in VERSION_ROWS.fields}
+        frame = literal_rows(spark, rows, **kinds)
+        frame.coalesce(1).write.mode("overwrite").parquet(self._version_folder(snapshot.version))
 
     def prune(self, spark: SparkSession, keep: int = 5) -> list[str]:
         """Delete folders that none of the last ``keep`` versions refers to."""
-        newest = self.snapshot(spark).version
-        oldest = newest - keep + 1
-        listed = spark.read.schema(VERSION_ROWS).parquet(self._versions)
-        kept = {
-            (r.data_version, r.slice)
-            for r in listed.where(F.col("v") >= oldest).select("data_version", "slice").distinct().collect()
-        }
-        former = (
-            listed.where(F.col("v") < oldest).select("v", "data_version", "slice").distinct().collect()
-        )
-        stale = {
-            join_path(self._data, f"v={r.data_version}", f"slice={r.slice}")
-            for r in former
-            if r.slice is not None and (r.data_version, r.slice) not in kept
-        } | {join_path(self._versions, f"v={r.v}") for r in former}
-        for folder in sorted(stale):
+        versions = sorted(self._numbered(spark))
+        former, kept = versions[:-keep], versions[-keep:]
+        stale = self._listed(spark, former) - self._listed(spark, kept)
+        folders = [join_path(self._data, f"v={v}", f"slice={s}") for v, s in sorted(stale)]
+        folders += [self._version_folder(v) for v in former]
+        for folder in folders:
             delete_folder(spark, folder)
-        return sorted(stale)
+        return folders
+
+    def _listed(self, spark: SparkSession, versions: Sequence[int]) -> set[tuple[int, int]]:
+        """Data folders that some versions are made of: versions times slices at most."""
+        if not versions:
+            return set()
+        folders = [self._version_folder(v) for v in versions]
+        listed = spark.read.schema(VERSION_ROWS).parquet(*folders).where("slice IS NOT NULL")
+        return {(r.data_version, r.slice) for r in listed.select("data_version", "slice").distinct().collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +26,30 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(where)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], **columns: str) -> DataFrame:
+    """A few fixed rows inside the plan, so that Catalyst knows their size."""
+    entries = F.array(
+        *[
+            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())])
+            for row in rows
+        ]
+    )
+    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(entries))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, where = _located(spark, path)
     files.delete(where, True)
 
 
+def folder_entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below; none if it is missing."""
+    files, where = _located(spark, path)
+    if not files.exists(where):
+        return []
+    return [entry.getPath().getName() for entry in files.listStatus(where)]
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows; Catalyst sees that and drops the branch from a plan."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]

@@ -24,6 +24,7 @@ def _spans(active: DataFrame, now: Column) -> DataFrame:
     return active.select(
         "source_dataset_id",
         "source_dataset_name",
+        parameter_int("page_size").alias("page_size"),
         to_typed("last_timestamp", "timestamp").alias("_start"),
         now.cast("timestamp").alias("_end"),
         (parameter_int("load_increment_days") * F.lit(DAY_MICROS)).alias("_step"),
@@ -41,7 +42,9 @@ def plan_windows(active: DataFrame, now: Column) -> DataFrame:
     """One row per dataset and window."""
     last = _div(_micros(F.col("_end")) - _micros(F.col("_start")) - 1, F.col("_step"))
     numbered = _spans(active, now).withColumn("_number", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    return numbered.select("source_dataset_id", "source_dataset_name", *_window(F.col("_number")))
+    return numbered.select(
+        "source_dataset_id", "source_dataset_name", "page_size", *_window(F.col("_number"))
+    )
 
 
 def assign_windows(records: DataFrame, active: DataFrame, now: Column) -> DataFrame:
@@ -53,13 +56,12 @@ def assign_windows(records: DataFrame, active: DataFrame, now: Column) -> DataFr
     whose start is not a time goes to the last window, so that bronze sees it
     and its rules count it.
     """
-    started = F.coalesce(
-        to_typed("startTime", "timestamp"), F.col("_end") - F.expr("INTERVAL 1 MICROSECOND")
-    )
+    last_moment = F.col("_end") - F.expr("INTERVAL 1 MICROSECOND")
     number = _div(_micros(F.col("_started")) - _micros(F.col("_start")), F.col("_step"))
     return (
-        records.join(broadcast_if_small(_spans(active, now)), "source_dataset_id")
-        .withColumn("_started", started)
+        records.withColumn("_started", to_typed("startTime", "timestamp"))
+        .join(broadcast_if_small(_spans(active, now)), "source_dataset_id")
+        .withColumn("_started", F.coalesce("_started", last_moment))
         .where("_started >= _start AND _started < _end")
         .select(*records.columns, "source_dataset_name", *_window(number))
     )

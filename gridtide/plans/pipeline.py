@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from ..config import Dataset, Layout
 from ..functions.typing import to_typed
 from ..operators import control
-from ..operators.silver import CONSUMPTION, SOLAR, TRANSFORMATIONS, WIND, dispatch
+from ..operators.silver import CONSUMPTION, SOLAR, TRANSFORMATIONS, WIND, consumption, dispatch
 from ..operators.windows import assign_windows, plan_windows
-from ..schemas import CONTROL
+from ..schemas import CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import pin
+from ..sources.catalog import create_schemas, publish_table, publish_views
 from ..sources.landing import write_landing
 from ..sources.sliced import SlicedTable
-from ..streaming.bronze import rule_totals, run_bronze
+from ..streaming.bronze import bronze_schema, rule_totals, run_bronze
 from ..streaming.gold import (
+    CHANGING_TABLES,
+    DIMENSIONS,
     run_dim_customer_type,
     run_fact_consumption,
     run_fact_generation,
@@ -101,6 +104,28 @@ def run_streams(
     return {d.bronze_table: rule_totals(query) for d, query in zip(datasets, raw)}
 
 
+def publish(spark: SparkSession, layout: Layout, datasets: Sequence[Dataset]) -> None:
+    """Give every table of the layers its SQL name."""
+    create_schemas(spark, layout)
+    for d in datasets:
+        comment = f"Raw readings of {d.key} from the landing zone."
+        publish_table(
+            spark, layout, "bronze", d.bronze_table, layout.bronze(d), bronze_schema(), comment
+        )
+    for d, transform in dispatch(datasets, TRANSFORMATIONS):
+        schema = SILVER_CONSUMPTION if transform is consumption else SILVER_GENERATION
+        comment = f"Typed readings of {d.name}."
+        publish_table(spark, layout, "silver", d.silver_table, layout.silver(d), schema, comment)
+    for name, build in DIMENSIONS.items():
+        comment = f"Generated dimension {name}."
+        publish_table(spark, layout, "gold", name, layout.gold(name), build(spark).schema, comment)
+    changing = [
+        ("landing_admin", "meta_control_table", control_table(layout)),
+        *[("gold", name, make(layout.gold(name))) for name, make in CHANGING_TABLES.items()],
+    ]
+    publish_views(spark, layout, changing)
+
+
 def run_pipeline(
     spark: SparkSession,
     layout: Layout,

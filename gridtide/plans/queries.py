@@ -24,6 +24,8 @@ from ..streaming.gold import (
     dim_customer_type_table,
     fact_consumption_table,
     fact_generation_table,
+    store_dimensions,
+    stored_dimensions,
 )
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
@@ -525,7 +527,7 @@ SQL_ACTIVE = f"(SELECT * FROM ({SQL_CONTROL}) WHERE is_active)"
 
 
 @query(
-    f"""SELECT source_dataset_id, source_dataset_name, s AS window_start,
+    f"""SELECT source_dataset_id, source_dataset_name, page_size, s AS window_start,
                least(s + to_days(load_increment_days), {SQL_NOW}) AS window_end
         FROM (SELECT *, unnest(generate_series(last_timestamp,
                      {SQL_NOW} - INTERVAL 1 MICROSECOND, to_days(load_increment_days))) AS s
@@ -646,6 +648,12 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.union_readings(*tables)
 
 
+def _stored_dimensions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    layout = Layout(root)
+    store_dimensions(spark, layout)
+    return stored_dimensions(spark, layout)
+
+
 @query(SQL_FACT_GENERATION)
 def stream_fact_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two silver streams, united and upserted; the second arrives a run later."""
@@ -659,7 +667,7 @@ def stream_fact_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_static(feed, paths[name])
         streams = [stream_table(spark, path, SILVER_GENERATION) for path in paths.values()]
         changes = lookups.generation_fact_rows(
-            lookups.union_readings(*streams), dims.dim_date(spark), dims.dim_time(spark), floor=True
+            lookups.union_readings(*streams), *_stored_dimensions(spark, root), floor=True
         )
         checkpoint = join_path(root, "checkpoint")
         finish([run_upsert(fact, changes, GENERATION_KEYS, checkpoint, "fact_generation")])
@@ -676,10 +684,7 @@ def _silver_consumption_folder(spark: SparkSession, sf_dir: str, root: str) -> D
 def stream_fact_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "consumption")
     changes = lookups.consumption_fact_rows(
-        _silver_consumption_folder(spark, sf_dir, root),
-        dims.dim_date(spark),
-        dims.dim_time(spark),
-        floor=True,
+        _silver_consumption_folder(spark, sf_dir, root), *_stored_dimensions(spark, root), floor=True
     )
     fact = fact_consumption_table(join_path(root, "gold"))
     checkpoint = join_path(root, "checkpoint")

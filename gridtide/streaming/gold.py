@@ -43,14 +43,22 @@ def dim_customer_type_table(path: str) -> SlicedTable:
     return SlicedTable(path, DIM_CUSTOMER_TYPE, slicing, CUSTOMER_TYPE_KEYS)
 
 
+CHANGING_TABLES = {
+    "fact_generation_forecast": fact_generation_table,
+    "fact_consumption": fact_consumption_table,
+    "dim_customer_type": dim_customer_type_table,
+}
+
+DIMENSIONS = {
+    "dim_date": dims.dim_date,
+    "dim_time": dims.dim_time,
+    "dim_generate_type": dims.dim_generate_type,
+}
+
+
 def store_dimensions(spark: SparkSession, layout: Layout) -> None:
     """Write the generated dimensions that are not there yet."""
-    generated = {
-        "dim_date": dims.dim_date,
-        "dim_time": dims.dim_time,
-        "dim_generate_type": dims.dim_generate_type,
-    }
-    for name, build in generated.items():
+    for name, build in DIMENSIONS.items():
         if not path_exists(spark, layout.gold(name) + "/_SUCCESS"):
             write_static(build(spark), layout.gold(name))
 

@@ -64,7 +64,7 @@ def test_lookup(spark, rows):
 
 def active(spark, *rows):
     columns = "source_dataset_id int, source_dataset_name string, last_timestamp string, load_increment_days int"
-    return spark.createDataFrame(rows, columns)
+    return spark.createDataFrame(rows, columns).withColumn("page_size", F.lit("2.0"))
 
 
 def test_plan(spark, rows):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide.config import Layout, parse_datasets
-from gridtide.plans.pipeline import control_table, run_pipeline
+from gridtide.plans.pipeline import control_table, publish, run_pipeline
 from gridtide.streaming.gold import (
     dim_customer_type_table,
     fact_consumption_table,
@@ -96,3 +96,24 @@ def test_two_runs(spark, rows, layout):
     # nothing new: no version is written
     run_pipeline(spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 3, tzinfo=UTC))
     assert generation.snapshot(spark).version == 2
+
+    # all tables by name
+    publish(spark, layout, DATASETS)
+    assert spark.sql("SELECT * FROM w_dev_bronze.`245_wind_power_generation_raw_table`").count() == 4
+    assert spark.sql("SELECT * FROM w_dev_silver.`358_electricity_consumption`").count() == 3
+    assert spark.sql("SELECT * FROM w_dev_landing_admin_meta_control_table").count() == 3
+    joined = spark.sql(
+        "SELECT d.year_month, g.generate_type, sum(f.value_mwh) FROM w_dev_gold_fact_generation_forecast f"
+        " JOIN w_dev_gold.dim_date d ON d.date_id = f.start_date_id"
+        " JOIN w_dev_gold.dim_generate_type g ON string(g.dataset_id) = f.datasetId"
+        " GROUP BY ALL"
+    )
+    assert rows(joined) == [
+        ("2025-01", "Solar", 3.5), ("2025-01", "Wind", 4.0), ("2025-02", "Wind", 10.0),
+    ]
+    told = {
+        r.col_name: r.data_type
+        for r in spark.sql("DESCRIBE EXTENDED w_dev_bronze.`245_wind_power_generation_raw_table`").collect()
+    }
+    assert "landing zone" in told["Comment"] and "quality=bronze" in told["Table Properties"]
+    publish(spark, layout, DATASETS)

@@ -17,7 +17,7 @@ from ..operators.bronze import with_origin
 from ..operators.upsert import CONSUMPTION_KEYS, CUSTOMER_TYPE_KEYS, GENERATION_KEYS, latest_per_key
 from ..schemas import BRONZE, CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import join_path, pin, work_folder
-from ..sources.landing import read_landing, write_landing
+from ..sources.landing import read_landing
 from ..sources.tables import empty_table, ensure_folder, read_table, stream_table, write_static
 from ..streaming.bronze import run_bronze
 from ..streaming.gold import (
@@ -30,7 +30,7 @@ from ..streaming.gold import (
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
 from ..streaming.upsert import run_upsert
-from .pipeline import marks_of
+from .pipeline import ensure_control, land, marks_of
 from .feeds import (
     EVENT_DATASETS,
     dataset_id_of,
@@ -212,15 +212,16 @@ def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.active_datasets(_control(spark, sf_dir), "dev")
 
 
-def _all_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = _control(spark, sf_dir).withColumn("is_active", F.lit(True))
-    return control.active_datasets(every, "dev")
-
-
-def _land_events(spark: SparkSession, sf_dir: str, root: str) -> None:
+def _land_events(spark: SparkSession, sf_dir: str) -> Layout:
+    """Land all events by way of a stored control table in which all datasets
+    are active. Being stored, its size is known and it can be broadcast."""
+    layout = Layout(work_folder(spark, "layers"))
+    seed = event_control(spark, sf_dir).drop("is_active")
+    stored = ensure_control(spark, layout, seed).read(spark)
+    active = control.active_datasets(stored, layout.environment)
     records = event_feed(spark, sf_dir).drop("ingestion_timestamp")
-    active, now = _all_active(spark, sf_dir), end_of_events(spark, sf_dir)
-    write_landing(windows.assign_windows(records, active, now), root)
+    land(active, lambda planned: records, layout, end_of_events(spark, sf_dir))
+    return layout
 
 
 # --- landing and bronze ----------------------------------------------------------
@@ -254,9 +255,8 @@ def _landed_columns(landed: DataFrame) -> DataFrame:
 @query(SQL_LANDED)
 def bronze_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all events per dataset and window, read the folder back."""
-    root = work_folder(spark, "landing")
-    _land_events(spark, sf_dir, root)
-    return _landed_columns(with_origin(read_landing(spark, root)))
+    layout = _land_events(spark, sf_dir)
+    return _landed_columns(with_origin(read_landing(spark, layout.landing)))
 
 
 def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,8 +620,7 @@ def unit_convert_km(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze_run(spark: SparkSession, sf_dir: str) -> Layout:
-    layout = Layout(work_folder(spark, "layers"))
-    _land_events(spark, sf_dir, layout.landing)
+    layout = _land_events(spark, sf_dir)
     finish(run_bronze(spark, layout, dataset) for dataset in EVENT_DATASETS)
     return layout
 

@@ -17,11 +17,13 @@ def slug(name: str) -> str:
 @dataclass(frozen=True)
 class Dataset:
     """One configured feed. ``multi_line`` says that its landing files hold
-    JSON arrays and not one record per line."""
+    JSON arrays and not one record per line; ``extra_fields`` are landing fields
+    that bronze keeps, as text, besides the usual ones."""
 
     id: int
     name: str
     multi_line: bool = False
+    extra_fields: tuple[str, ...] = ()
 
     @property
     def key(self) -> str:
@@ -40,7 +42,12 @@ def parse_datasets(text: str) -> list[Dataset]:
     """Datasets from a JSON array of ``{"id": .., "name": ..}`` objects."""
     try:
         return [
-            Dataset(int(item["id"]), item["name"], bool(item.get("multi_line", False)))
+            Dataset(
+                int(item["id"]),
+                item["name"],
+                bool(item.get("multi_line", False)),
+                tuple(item.get("extra_fields", ())),
+            )
             for item in json.loads(text)
         ]
     except (TypeError, ValueError, KeyError, AttributeError) as error:

@@ -18,7 +18,7 @@ from ..session import pin
 from ..sources.catalog import create_schemas, publish_table, publish_views
 from ..sources.landing import write_landing
 from ..sources.sliced import SlicedTable
-from ..streaming.bronze import bronze_schema, rule_totals, run_bronze
+from ..streaming.bronze import RULE_COUNTS, bronze_schema, run_bronze
 from ..streaming.gold import (
     CHANGING_TABLES,
     DIMENSIONS,
@@ -27,6 +27,7 @@ from ..streaming.gold import (
     run_fact_generation,
     store_dimensions,
 )
+from ..streaming.metrics import ObservedCounts
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
 
@@ -40,6 +41,10 @@ def control_table(layout: Layout) -> SlicedTable:
     return SlicedTable(layout.control, CONTROL, lambda: F.lit(0).cast("bigint"), ("id",))
 
 
+def gold_tables(layout: Layout) -> dict[str, SlicedTable]:
+    return {name: make(layout.gold(name)) for name, make in CHANGING_TABLES.items()}
+
+
 def ensure_control(
     spark: SparkSession, layout: Layout, seed: DataFrame, now: Column | None = None
 ) -> SlicedTable:
@@ -88,7 +93,9 @@ def run_streams(
     The streams of a layer do not depend on each other and run side by side.
     """
     store_dimensions(spark, layout)
-    raw = finish(run_bronze(spark, layout, d, now=now, **limits) for d in datasets)
+    with ObservedCounts(spark, RULE_COUNTS) as counts:
+        raw = finish(run_bronze(spark, layout, d, now, **limits) for d in datasets)
+        totals = {d.bronze_table: counts.of(query) for d, query in zip(datasets, raw)}
     typed = dispatch(datasets, TRANSFORMATIONS)
     finish(run_silver(spark, layout, d, transform, now, **limits) for d, transform in typed)
 
@@ -101,7 +108,7 @@ def run_streams(
         gold.append(run_fact_consumption(spark, layout, dataset, now, **limits))
         gold.append(run_dim_customer_type(spark, layout, dataset, **limits))
     finish(gold)
-    return {d.bronze_table: rule_totals(query) for d, query in zip(datasets, raw)}
+    return totals
 
 
 def publish(spark: SparkSession, layout: Layout, datasets: Sequence[Dataset]) -> None:
@@ -110,7 +117,13 @@ def publish(spark: SparkSession, layout: Layout, datasets: Sequence[Dataset]) ->
     for d in datasets:
         comment = f"Raw readings of {d.key} from the landing zone."
         publish_table(
-            spark, layout, "bronze", d.bronze_table, layout.bronze(d), bronze_schema(), comment
+            spark,
+            layout,
+            "bronze",
+            d.bronze_table,
+            layout.bronze(d),
+            bronze_schema(d.extra_fields),
+            comment,
         )
     for d, transform in dispatch(datasets, TRANSFORMATIONS):
         schema = SILVER_CONSUMPTION if transform is consumption else SILVER_GENERATION
@@ -119,10 +132,8 @@ def publish(spark: SparkSession, layout: Layout, datasets: Sequence[Dataset]) ->
     for name, build in DIMENSIONS.items():
         comment = f"Generated dimension {name}."
         publish_table(spark, layout, "gold", name, layout.gold(name), build(spark).schema, comment)
-    changing = [
-        ("landing_admin", "meta_control_table", control_table(layout)),
-        *[("gold", name, make(layout.gold(name))) for name, make in CHANGING_TABLES.items()],
-    ]
+    changing = [("gold", name, table) for name, table in gold_tables(layout).items()]
+    changing.append(("landing_admin", "meta_control_table", control_table(layout)))
     publish_views(spark, layout, changing)
 
 
@@ -133,13 +144,15 @@ def run_pipeline(
     feed: Feed,
     now: dt.datetime | None = None,
     seed: DataFrame | None = None,
+    keep_versions: int | None = None,
     **limits: str,
 ) -> dict[str, dict[str, int]]:
     """Control table, landing, streams, and last the watermark.
 
     One time, ``now``, ends the windows and becomes the watermark. A run that
     stops anywhere before the end is repeated from the same watermark: its
-    windows are landed again and the upserts absorb them.
+    windows are landed again and the upserts absorb them. With
+    ``keep_versions`` older versions of the changing tables are deleted.
     """
     pin(spark)
     until = F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
@@ -150,4 +163,7 @@ def run_pipeline(
     totals = run_streams(spark, layout, datasets, **limits)
     marks = marks_at(active, layout.environment, until)
     table.replace(spark, control.advance_watermark(rows, marks))
+    if keep_versions:
+        for changing in (table, *gold_tables(layout).values()):
+            changing.prune(spark, keep_versions)
     return totals

@@ -9,13 +9,15 @@ task then needs memory for a whole file.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typing import as_column
 from ..operators.windows import batch_name
-from ..schemas import CORRUPT_COLUMN, LANDING
+from ..schemas import CORRUPT_COLUMN, LANDING, TEXT
 
 
 def dataset_key(dataset_id, dataset_name):
@@ -24,8 +26,12 @@ def dataset_key(dataset_id, dataset_name):
     return F.concat_ws("_", as_column(dataset_id).cast("string"), name)
 
 
-def write_landing(records: DataFrame, root: str, fields: list[str] | None = None) -> None:
-    """Land records that carry their dataset and window (see ``assign_windows``).
+WINDOW_COLUMNS = ("source_dataset_id", "source_dataset_name", "window_start", "window_end")
+
+
+def write_landing(records: DataFrame, root: str) -> None:
+    """Land records that carry their dataset and window (see ``assign_windows``);
+    all their other columns are fields.
 
     A window that is landed again replaces its former files; other windows stay.
     The rebalance gathers each window into few files and splits a window that
@@ -34,7 +40,7 @@ def write_landing(records: DataFrame, root: str, fields: list[str] | None = None
     shaped = records.select(
         dataset_key("source_dataset_id", "source_dataset_name").alias("dataset"),
         batch_name(F.col("window_start"), F.col("window_end")).alias("batch"),
-        *(fields or LANDING.fieldNames()),
+        *[name for name in records.columns if name not in WINDOW_COLUMNS],
     )
     (
         shaped.hint("rebalance", "dataset", "batch")
@@ -45,21 +51,22 @@ def write_landing(records: DataFrame, root: str, fields: list[str] | None = None
     )
 
 
-def landing_schema(extra: T.StructType | None = None) -> T.StructType:
-    known = LANDING.fields
-    added = [f for f in (extra or T.StructType()).fields if f.name not in LANDING.fieldNames()]
-    return T.StructType([*known, *added, T.StructField(CORRUPT_COLUMN, T.StringType())])
+def landing_schema(extra_fields: Sequence[str] = ()) -> T.StructType:
+    added = [T.StructField(f, TEXT) for f in extra_fields if f not in LANDING.fieldNames()]
+    return T.StructType([*LANDING.fields, *added, T.StructField(CORRUPT_COLUMN, TEXT)])
 
 
-def infer_extra_fields(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
-    """All fields that occur in the files, as text; reads every file once."""
-    return (
+def infer_extra_fields(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[str, ...]:
+    """Fields that occur in the files besides the usual ones; reads every file."""
+    found = (
         spark.read.option("multiLine", multi_line)
-        .option("primitivesAsString", True)
         .option("recursiveFileLookup", True)
+        .option("primitivesAsString", True)
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(path)
-        .schema
     )
+    usual = {*LANDING.fieldNames(), CORRUPT_COLUMN}
+    return tuple(name for name in found.columns if name not in usual)
 
 
 def _options(multi_line: bool) -> dict[str, str]:
@@ -74,23 +81,23 @@ def read_landing(
     spark: SparkSession,
     path: str,
     multi_line: bool = False,
-    extra: T.StructType | None = None,
+    extra_fields: Sequence[str] = (),
 ) -> DataFrame:
     """All files below a folder as a batch frame."""
-    return spark.read.schema(landing_schema(extra)).options(**_options(multi_line)).json(path)
+    return spark.read.schema(landing_schema(extra_fields)).options(**_options(multi_line)).json(path)
 
 
 def stream_landing(
     spark: SparkSession,
     path: str,
     multi_line: bool = False,
-    extra: T.StructType | None = None,
+    extra_fields: Sequence[str] = (),
     **limits: str,
 ) -> DataFrame:
     """Files not seen by this stream before; ``limits`` are options of the file
     source such as maxFilesPerTrigger, maxBytesPerTrigger or cleanSource."""
     return (
-        spark.readStream.schema(landing_schema(extra))
+        spark.readStream.schema(landing_schema(extra_fields))
         .options(**_options(multi_line), **limits)
         .json(path)
     )

@@ -52,13 +52,3 @@ def finish(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the stream that owns a checkpoint; it outlives restarts."""
     return spark.read.schema("id string").json(join_path(checkpoint, "metadata")).first().id
-
-
-def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sum of the counts observed over the micro-batches of a finished run."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for key, value in (row.asDict() if row is not None else {}).items():
-            totals[key] = totals.get(key, 0) + value
-    return totals

@@ -16,7 +16,7 @@ from gridtide.streaming.gold import (
 UTC = dt.timezone.utc
 DATASETS = parse_datasets(
     '[{"id": 248, "name": "Solar power generation"}, {"id": 245, "name": "Wind power generation"},'
-    ' {"id": 358, "name": "Electricity consumption"}, {"id": 7, "name": "Not known"}]'
+    ' {"id": 358, "name": "Electricity consumption", "extra_fields": ["quality"]}, {"id": 7, "name": "Not known"}]'
 )
 FIELDS = "source_dataset_id int, datasetId string, startTime string, endTime string, value string, additionalJson string"
 
@@ -45,7 +45,7 @@ def layout(tmp_path):
 
 
 def feed_of(spark, records):
-    return lambda windows: spark.createDataFrame(records, FIELDS)
+    return lambda windows: spark.createDataFrame(records, FIELDS).withColumn("quality", F.lit("ok"))
 
 
 def test_two_runs(spark, rows, layout):
@@ -94,12 +94,17 @@ def test_two_runs(spark, rows, layout):
     assert snapshot.slices == {0: 1, 202501: 1, 202502: 2}
 
     # nothing new: no version is written
-    run_pipeline(spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 3, tzinfo=UTC))
+    run_pipeline(
+        spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 3, tzinfo=UTC), keep_versions=1
+    )
     assert generation.snapshot(spark).version == 2
+    assert generation.read(spark).count() == 6
 
     # all tables by name
     publish(spark, layout, DATASETS)
     assert spark.sql("SELECT * FROM w_dev_bronze.`245_wind_power_generation_raw_table`").count() == 4
+    kept = spark.sql("SELECT quality FROM w_dev_bronze.`358_electricity_consumption_raw_table`")
+    assert rows(kept.distinct()) == [("ok",)]
     assert spark.sql("SELECT * FROM w_dev_silver.`358_electricity_consumption`").count() == 3
     assert spark.sql("SELECT * FROM w_dev_landing_admin_meta_control_table").count() == 3
     joined = spark.sql(

@@ -65,7 +65,8 @@ def test_unreadable_file_is_kept_apart(spark, tmp_path):
 def test_inferred_extra_fields_reach_bronze(spark, tmp_path):
     path = land(tmp_path / "a", [{**RECORDS[0], "quality": 3}], True)
     extra = infer_extra_fields(spark, path)
-    row = read_landing(spark, path, extra=extra).first()
+    assert extra == ("quality",)
+    row = read_landing(spark, path, extra_fields=extra).first()
     assert row.quality == "3"
     assert row.datasetId == "358"
 

@@ -14,8 +14,9 @@ from gridtide.schemas import BRONZE, SILVER_GENERATION
 from gridtide.sources.landing import read_landing
 from gridtide.sources.sliced import SlicedTable
 from gridtide.sources.tables import read_table, stream_table
-from gridtide.streaming.bronze import rule_totals, run_bronze
+from gridtide.streaming.bronze import RULE_COUNTS, run_bronze
 from gridtide.streaming.gold import fact_generation_table
+from gridtide.streaming.metrics import ObservedCounts
 from gridtide.streaming.runs import finish
 from gridtide.streaming.silver import run_silver
 from gridtide.streaming.upsert import run_upsert
@@ -53,12 +54,14 @@ def drop_files(layout, records, parts, name):
 def test_bronze_and_silver_equal_batch(spark, rows, tmp_path):
     layout = Layout(str(tmp_path))
     drop_files(layout, readings(60, 1), 3, "first")
-    (first,) = finish([run_bronze(spark, layout, WIND, maxFilesPerTrigger="1")])
+    with ObservedCounts(spark, RULE_COUNTS) as counts:
+        (first,) = finish([run_bronze(spark, layout, WIND, maxFilesPerTrigger="1")])
     assert len([p for p in first.recentProgress if p.numInputRows]) == 3
     finish([run_silver(spark, layout, WIND, silver.generation)])
     # only files that were not there before are read by the next run
     drop_files(layout, readings(40, 2), 2, "second")
-    (second,) = finish([run_bronze(spark, layout, WIND)])
+    with ObservedCounts(spark, RULE_COUNTS) as more_counts:
+        (second,) = finish([run_bronze(spark, layout, WIND)])
     finish([run_silver(spark, layout, WIND, silver.generation)])
     assert sum(p.numInputRows for p in second.recentProgress) == 40
 
@@ -72,7 +75,7 @@ def test_bronze_and_silver_equal_batch(spark, rows, tmp_path):
     assert rows(typed, *columns) == rows(silver.generation(kept), *columns)
 
     failed = {r.rule: r.failed for r in quality.expectation_metrics(landed, quality.READING_RULES).collect()}
-    counted = [rule_totals(q) for q in (first, second)]
+    counted = [counts.of(first), more_counts.of(second)]
     assert sum(c["total"] for c in counted) == 100
     for rule, n in failed.items():
         assert sum(c[f"failed_{rule}"] for c in counted) == n

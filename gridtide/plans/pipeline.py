@@ -57,10 +57,12 @@ def ensure_control(
     return table
 
 
-def land(active: DataFrame, feed: Feed, layout: Layout, now: Column) -> None:
+def land(
+    active: DataFrame, feed: Feed, layout: Layout, now: Column, gathered: bool = False
+) -> None:
     """Fetch what the windows ask for and store it per dataset and window."""
     records = feed(plan_windows(active, now))
-    write_landing(assign_windows(records, active, now), layout.landing)
+    write_landing(assign_windows(records, active, now), layout.landing, gathered)
 
 
 def marks_at(active: DataFrame, environment: str, now: Column) -> DataFrame:
@@ -145,6 +147,7 @@ def run_pipeline(
     now: dt.datetime | None = None,
     seed: DataFrame | None = None,
     keep_versions: int | None = None,
+    gathered: bool = False,
     **limits: str,
 ) -> dict[str, dict[str, int]]:
     """Control table, landing, streams, and last the watermark.
@@ -152,14 +155,15 @@ def run_pipeline(
     One time, ``now``, ends the windows and becomes the watermark. A run that
     stops anywhere before the end is repeated from the same watermark: its
     windows are landed again and the upserts absorb them. With
-    ``keep_versions`` older versions of the changing tables are deleted.
+    ``keep_versions`` older versions of the changing tables are deleted. A feed
+    whose records come window by window is ``gathered``.
     """
     pin(spark)
     until = F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
     table = ensure_control(spark, layout, seed or control.default_seed(spark), until)
     rows = table.read(spark)
     active = control.active_datasets(rows, layout.environment)
-    land(active, feed, layout, until)
+    land(active, feed, layout, until, gathered)
     totals = run_streams(spark, layout, datasets, **limits)
     marks = marks_at(active, layout.environment, until)
     table.replace(spark, control.advance_watermark(rows, marks))

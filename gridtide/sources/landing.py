@@ -29,22 +29,24 @@ def dataset_key(dataset_id, dataset_name):
 WINDOW_COLUMNS = ("source_dataset_id", "source_dataset_name", "window_start", "window_end")
 
 
-def write_landing(records: DataFrame, root: str) -> None:
+def write_landing(records: DataFrame, root: str, gathered: bool = False) -> None:
     """Land records that carry their dataset and window (see ``assign_windows``);
     all their other columns are fields.
 
     A window that is landed again replaces its former files; other windows stay.
     The rebalance gathers each window into few files and splits a window that
     holds much of the data, so neither tiny files nor one huge task result.
+    Records that come window by window, as from ``fetch_windows``, are
+    ``gathered`` already and need no shuffle.
     """
     shaped = records.select(
         dataset_key("source_dataset_id", "source_dataset_name").alias("dataset"),
         batch_name(F.col("window_start"), F.col("window_end")).alias("batch"),
         *[name for name in records.columns if name not in WINDOW_COLUMNS],
     )
+    placed = shaped if gathered else shaped.hint("rebalance", "dataset", "batch")
     (
-        shaped.hint("rebalance", "dataset", "batch")
-        .write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset", "batch")
         .json(root)

@@ -6,9 +6,9 @@
 A change rewrites only the slices it touches, never a file that is being read.
 Version n counts once its one-file ``versions/v=<n>`` is there; whatever a
 lost driver left of an uncommitted version is not read and later overwritten.
-The number of slices is bounded by the slicing rule (months of the calendar or
-a fixed number of hash buckets), so the version rows are the only thing that
-reaches the driver.
+The number of slices is bounded by the slicing rule (months or days of the
+calendar, or a fixed number of hash buckets), so the version rows are the only
+thing that reaches the driver.
 """
 
 from __future__ import annotations
@@ -32,6 +32,11 @@ def month_slices(date_key: str) -> Callable[[], Column]:
     return lambda: F.coalesce(F.call_function("div", F.col(date_key), F.lit(100)), F.lit(0))
 
 
+def day_slices(date_key: str) -> Callable[[], Column]:
+    """One slice per day, for tables whose months are too big to rewrite."""
+    return lambda: F.coalesce(F.col(date_key), F.lit(0)).cast("bigint")
+
+
 def hash_slices(keys: Sequence[str], n: int) -> Callable[[], Column]:
     """A fixed number of slices by hash of the keys."""
     return lambda: F.pmod(F.xxhash64(*keys), F.lit(n)).cast("bigint")

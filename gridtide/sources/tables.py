@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,9 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], **columns: str) -> DataFrame:
     """A few fixed rows inside the plan, so that Catalyst knows their size."""
-    entries = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())])
-            for row in rows
-        ]
-    )
+    text = json.dumps([dict(zip(columns, row)) for row in rows])
+    fields = ", ".join(f"{name}: {kind}" for name, kind in columns.items())
+    entries = F.from_json(F.lit(text), f"array<struct<{fields}>>")
     return spark.range(0, 1, 1, numPartitions=1).select(F.inline(entries))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,13 +29,20 @@ from .upsert import run_upsert
 
 CUSTOMER_TYPE_SLICES = 8
 
+SliceRule = Callable[[str], Callable[[], Column]]
 
-def fact_generation_table(path: str) -> SlicedTable:
-    return SlicedTable(path, FACT_GENERATION, month_slices("start_date_id"), GENERATION_KEYS)
 
+# A fact has at most 96 rows per day and dataset or customer type, so a month is
+# a good unit to rewrite; day_slices suit very many customer types. A table has to
+# keep the slicing it was made with.
 
-def fact_consumption_table(path: str) -> SlicedTable:
-    return SlicedTable(path, FACT_CONSUMPTION, month_slices("start_date_id"), CONSUMPTION_KEYS)
+
+def fact_generation_table(path: str, by: SliceRule = month_slices) -> SlicedTable:
+    return SlicedTable(path, FACT_GENERATION, by("start_date_id"), GENERATION_KEYS)
+
+
+def fact_consumption_table(path: str, by: SliceRule = month_slices) -> SlicedTable:
+    return SlicedTable(path, FACT_CONSUMPTION, by("start_date_id"), CONSUMPTION_KEYS)
 
 
 def dim_customer_type_table(path: str) -> SlicedTable:

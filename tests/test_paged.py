@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gridtide.operators.windows import plan_windows
+from gridtide.operators.windows import assign_windows, plan_windows
+from gridtide.sources.landing import read_landing, write_landing
 from gridtide.sources.paged import RateLimited, fetch_windows, pages_of, patiently
 
 
@@ -36,7 +37,7 @@ def test_busy_source():
         patiently(always, 0, 1)
 
 
-def test_every_window_is_fetched(spark, rows):
+def test_every_window_is_fetched(spark, rows, tmp_path):
     datasets = spark.createDataFrame(
         [(1, "a", "2025-01-01T00:00:00", "2", "2"), (2, "b", "2025-01-03T00:00:00", "1", "2")],
         "source_dataset_id int, source_dataset_name string, last_timestamp string,"
@@ -51,10 +52,16 @@ def test_every_window_is_fetched(spark, rows):
         ][(page - 1) * size : page * size]
         return found, page + 1 if page * size < 3 else None
 
-    windows = plan_windows(datasets, F.lit("2025-01-05").cast("timestamp"))
+    now = F.lit("2025-01-05").cast("timestamp")
+    windows = plan_windows(datasets, now)
     got = fetch_windows(windows, get_page, tasks=3)
     assert got.count() == 4 * 3
     assert rows(got.where("source_dataset_id = 2 and value = '1'"), "datasetId", "startTime", "additionalJson", "endTime") == [
         ("2", "2025-01-03T00:00:00Z", '{"n": 1}', None),
         ("2", "2025-01-04T00:00:00Z", '{"n": 1}', None),
     ]
+
+    # landed without a shuffle: one file per window
+    write_landing(assign_windows(got, datasets, now), str(tmp_path), gathered=True)
+    assert len(list(tmp_path.glob("dataset=*/batch=*/part-*.json"))) == 4
+    assert read_landing(spark, str(tmp_path)).count() == 12

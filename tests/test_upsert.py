@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridtide.operators import dims, lookups
 from gridtide.operators.upsert import latest_per_key
-from gridtide.sources.sliced import SlicedTable, hash_slices, month_slices
+from gridtide.sources.sliced import SlicedTable, day_slices, hash_slices, month_slices
 from gridtide.schemas import LONG, REAL, TEXT, table_of
 from gridtide.streaming.upsert import upsert
 
@@ -84,6 +84,18 @@ def test_any_split_into_batches_gives_the_same(spark, rows, target):
     assert set(target.snapshot(spark).slices) == {0, 202501, 202502, 202601}
 
 
+def test_many_slices(spark, rows, tmp_path):
+    days = [20250101 + d for d in range(28)] + [20250201 + d for d in range(28)] + [None]
+    table = SlicedTable(str(tmp_path / "d"), SCHEMA, day_slices("start_date_id"), KEYS)
+    table.create(spark)
+    data = [(d, "a", 1, 1.0, None) for d in days]
+    upsert(table, frame_of(spark, data), KEYS, "seq", "w", 0)
+    upsert(table, frame_of(spark, [(20250110, "a", 2, 2.0, None)]), KEYS, "seq", "w", 1)
+    assert table.read(spark).count() == 57
+    versions = table.snapshot(spark).slices
+    assert (versions[20250110], versions[20250111], versions[0]) == (2, 1, 1)
+
+
 def test_late_row_and_untouched_slices(spark, rows, target):
     target.create(spark)
     assert target.read(spark).count() == 0

@@ -395,7 +395,7 @@ def union_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql_generation_fact(SQL_TIME_ID))
 def fact_lookup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys as the reference forms them: off the quarter hour there is none."""
+    """Exact keys: a start off the quarter hour has no time key."""
     return _generation_fact(spark, sf_dir, floor=False)
 
 

@@ -6,6 +6,7 @@
 A change rewrites only the slices it touches, never a file that is being read.
 Version n counts once its one-file ``versions/v=<n>`` is there; whatever a
 lost driver left of an uncommitted version is not read and later overwritten.
+One flow at a time may write a table; any number may read it.
 The number of slices is bounded by the slicing rule (months or days of the
 calendar, or a fixed number of hash buckets), so the version rows are the only
 thing that reaches the driver.

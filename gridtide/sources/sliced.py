@@ -116,12 +116,12 @@ class SlicedTable:
         spark: SparkSession,
         base: Snapshot,
         rows: DataFrame,
-        slices: Sequence[int],
         writer: str | None = None,
         batch_id: int = -1,
     ) -> Snapshot:
-        """Write the new content of the given slices as the next version.
+        """Write the new content of some slices as the next version.
 
+        ``rows`` holds those slices as a whole; the others stay as in ``base``.
         The rebalance gathers a slice into few files and splits a big one over
         several tasks; sorted rows give row groups narrow key ranges to skip by.
         """
@@ -135,14 +135,15 @@ class SlicedTable:
             .partitionBy("slice")
             .parquet(target)
         )
-        snapshot = Snapshot(version, {**base.slices, **dict.fromkeys(slices, version)}, writer, batch_id)
+        names = folder_entries(spark, target)
+        written = {int(n[len("slice=") :]): version for n in names if n.startswith("slice=")}
+        snapshot = Snapshot(version, {**base.slices, **written}, writer, batch_id)
         self._commit(spark, snapshot)
         return snapshot
 
     def replace(self, spark: SparkSession, rows: DataFrame) -> Snapshot:
         """Replace the whole table by rows computed from an earlier version."""
-        emptied = Snapshot(self.snapshot(spark).version, {})
-        return self.write(spark, emptied, rows, self.touched(rows))
+        return self.write(spark, Snapshot(self.snapshot(spark).version, {}), rows)
 
     def _commit(self, spark: SparkSession, snapshot: Snapshot) -> None:
         rows = [

@@ -29,12 +29,13 @@ def upsert(
     base = table.snapshot(spark)
     if writer is not None and base.writer == writer and batch_id <= base.batch_id:
         return
-    slices = table.touched(changes)
-    if not slices:
-        return
-    current = table.read(spark, base, slices)
-    merged = latest_per_key(current.unionByName(changes), keys, sequence_by)
-    table.write(spark, base, merged, slices, writer, batch_id)
+    # a first load, often the largest, has nothing to merge with
+    if base.slices:
+        slices = table.touched(changes)
+        if not slices:
+            return
+        changes = table.read(spark, base, slices).unionByName(changes)
+    table.write(spark, base, latest_per_key(changes, keys, sequence_by), writer, batch_id)
 
 
 def run_upsert(

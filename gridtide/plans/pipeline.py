@@ -160,7 +160,8 @@ def run_pipeline(
     """
     pin(spark)
     until = F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
-    table = ensure_control(spark, layout, seed or control.default_seed(spark), until)
+    first_rows = control.default_seed(spark) if seed is None else seed
+    table = ensure_control(spark, layout, first_rows, until)
     rows = table.read(spark)
     active = control.active_datasets(rows, layout.environment)
     land(active, feed, layout, until, gathered)

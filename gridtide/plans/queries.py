@@ -3,6 +3,7 @@ same rows."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from ..streaming.gold import (
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
 from ..streaming.upsert import run_upsert
-from .pipeline import ensure_control, land, marks_of
+from .pipeline import ensure_control, gold_tables, land, marks_of, run_pipeline
 from .feeds import (
     EVENT_DATASETS,
     dataset_id_of,
@@ -699,3 +700,38 @@ def stream_dim_customer_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = join_path(root, "checkpoint")
     finish([run_upsert(dim, changes, CUSTOMER_TYPE_KEYS, checkpoint, "dim_customer_type")])
     return dim.read(spark)
+
+
+SQL_PIPELINE_FACTS = f"""
+    SELECT 'generation' AS fact, {SQL_DATE_ID} AS start_date_id, {SQL_TIME_ID} AS start_time_id,
+           "datasetId" AS key, max(value_mwh) AS mwh
+    FROM ({SQL_GENERATION}) WHERE "datasetId" IN ('245', '248') GROUP BY ALL
+    UNION ALL
+    SELECT 'consumption', {SQL_DATE_ID}, {SQL_TIME_ID}, customer_type, max(consumption_mwh)
+    FROM ({SQL_CONSUMPTION}) WHERE "datasetId" = '358' GROUP BY ALL"""
+
+
+@query(SQL_PIPELINE_FACTS)
+def pipeline_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run, from control table to gold. All readings of a dataset arrive
+    in one micro-batch here, so the largest value wins a key."""
+    layout = Layout(work_folder(spark, "pipeline"))
+    seed = event_control(spark, sf_dir).drop("is_active")
+    records = event_feed(spark, sf_dir).drop("ingestion_timestamp")
+    last = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    now = last.replace(tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=1)
+    run_pipeline(spark, layout, EVENT_DATASETS, lambda planned: records, now, seed)
+
+    def fact(kind: str, key: str, value: str, name: str) -> DataFrame:
+        return gold_tables(layout)[name].read(spark).select(
+            F.lit(kind).alias("fact"),
+            "start_date_id",
+            "start_time_id",
+            F.col(key).alias("key"),
+            F.col(value).alias("mwh"),
+        )
+
+    return lookups.union_readings(
+        fact("generation", "datasetId", "value_mwh", "fact_generation_forecast"),
+        fact("consumption", "customer_type", "consumption_mwh", "fact_consumption"),
+    )

@@ -1,8 +1,8 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
 Each rule votes good, bad or abstains. Expectation-maximisation over the counts of
-vote patterns estimates, for either class, how often each rule votes what, and the
-posterior probability of good quality decides instead of an all-must-pass filter.
+vote patterns estimates, for either class, how often each rule that votes is right, and the posterior probability of
+good quality decides instead of an all-must-pass filter.
 
 The texts are read once; words, windows and lines are compared inside the row, so
 nothing of a text is shuffled, and a very long text costs memory in proportion to
@@ -87,36 +87,57 @@ def measured(docs: DataFrame) -> DataFrame:
     return seen.select("doc_id", *[F.col(c).cast("long").alias(c) for c in STATS])
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    vote = F.when(bad, BAD)
+    return (vote if good is None else vote.when(good, GOOD)).otherwise(ABSTAIN)
 
 
 def default_rules() -> dict[str, Column]:
-    """Votes over STATS. A rule abstains where it knows little."""
+    """Votes over STATS. A rule abstains where it knows little; only the length and the
+    variety of lines speak for a text."""
     n = F.col("n_words")
     return {
         "length": _vote(n < 30, n >= 80),
-        "word_length": _vote((F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n), F.col("word_chars").between(4 * n, 9 * n)),
-        "symbols": _vote(10 * F.col("n_symbols") > n, 100 * F.col("n_symbols") <= n),
+        "word_length": _vote((F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n)),
+        "symbols": _vote(10 * F.col("n_symbols") > n),
         "lines": _vote(10 * F.col("n_dup_lines") > 3 * F.col("n_lines"), (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3)),
-        "repeats": _vote(100 * F.col("n_repeat_words") > 15 * n, (F.col("n_repeat_words") == 0) & (n >= 50)),
-        "shouts": _vote(20 * F.col("n_shouts") > n, F.col("n_shouts") == 0),
+        "repeats": _vote(100 * F.col("n_repeat_words") > 15 * n),
+        "shouts": _vote(20 * F.col("n_shouts") > n),
     }
 
 
-def posteriors(patterns: DataFrame, m: int, iterations: int = 30, prior: float = 1.0) -> DataFrame:
+# Prior of a rule's votes in either class, worth this share of all documents: a rule
+# seldom calls a good text bad, and of a bad text it may know nothing.
+PRIOR_SHARE = 0.02
+PRIOR_BAD = {"q": 0.02, "(1D - q)": 0.5}
+# Bounds of the estimated share of bad votes. Rules that abstain unless sure call few
+# good texts bad; without a bound a kind of junk that only one rule knows would
+# come out as that rule's error.
+BOUND_BAD = {"q": (1e-4, 0.02), "(1D - q)": (0.3, 0.9)}
+# Prior share of good texts, worth as much as all documents together.
+PRIOR_GOOD = {"q": 0.85, "(1D - q)": 0.15}
+
+
+def posteriors(patterns: DataFrame, m: int, iterations: int = 30) -> DataFrame:
     """(pattern, posterior) from (pattern, n): a pattern holds the votes of m rules in base 3.
 
-    Starts from the share of bad votes; ``prior`` is added to each count, so that
-    no estimate is 0. The patterns are sorted first, so sums do not depend on the
-    order in which they arrive.
+    For either class and each rule the estimate is the share of bad votes among the
+    votes the rule cast; an abstention says nothing. Starts from the number of bad
+    votes. The patterns are sorted first, so sums do not depend on their order.
     """
     def share(of: str) -> str:
-        chosen = f"zip_with(a, post, (p, q) -> if(element_at(p.v, cast(i div 3 as int) + 1) = i % 3, p.n * {of}, 0D))"
-        total = f"aggregate(zip_with(a, post, (p, q) -> p.n * {of}), 0D, (s, x) -> s + x)"
-        return f"transform(sequence(0, {3 * m - 1}), i -> ln((aggregate({chosen}, 0D, (s, x) -> s + x) + {prior}D) / ({total} + {3 * prior}D)))"
+        votes = lambda test: f"aggregate(zip_with(a, post, (p, q) -> if({test}, p.n * {of}, 0D)), 0D, (s, x) -> s + x)"
+        vote = "element_at(p.v, cast(i div 3 as int) + 1)"
+        weight = f"({PRIOR_SHARE}D * aggregate(a, 0D, (s, x) -> s + x.n) + 1D)"
+        rate = f"(({votes(f'{vote} = {BAD}')} + {PRIOR_BAD[of]}D * {weight}) / ({votes(f'{vote} <> {ABSTAIN}')} + {weight}))"
+        low, high = BOUND_BAD[of]
+        bounded = f"least({high}D, greatest({low}D, {rate}))"
+        return (
+            f"transform(sequence(0, {3 * m - 1}), i -> CASE i % 3 WHEN {ABSTAIN} THEN 0D "
+            f"WHEN {BAD} THEN ln({bounded}) ELSE ln(1D - {bounded}) END)"
+        )
 
-    mass = lambda of: f"ln(aggregate(zip_with(a, post, (p, q) -> p.n * {of}), 0D, (s, x) -> s + x) + {prior}D)"
+    mass = lambda of: f"ln(aggregate(zip_with(a, post, (p, q) -> p.n * ({of} + {PRIOR_GOOD[of]}D)), 0D, (s, x) -> s + x) + 1D)"
     place = "cast(j * 3 + element_at(p.v, j + 1) + 1 as int)"
     ratio = f"aggregate(sequence(0, {m - 1}), e.b - e.g, (s, j) -> s + element_at(e.bs, {place}) - element_at(e.gs, {place}))"
     step = (

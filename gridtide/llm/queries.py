@@ -6,24 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import pin
-from . import mixing, quality_rules, url_filter
-from .shared import table
+from . import minhash, mixing, quality_rules, url_filter
+from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def _over(name: str, run: Callable[[SparkSession, DataFrame], DataFrame]) -> Run:
-    return lambda spark, sf_dir: run(pin(spark), table(spark, sf_dir, name))
+    return lambda spark, sf_dir: run(ready(spark), table(spark, sf_dir, name))
 
 
 QUERIES: dict[str, Run] = {
     "op1_quality_rules": _over("documents", quality_rules.op1),
+    "op3_minhash": _over("documents", minhash.op3),
     "op5_url_filters": _over("pages", url_filter.op5),
     "op9_mixing": _over("documents", mixing.op9),
 }
 
 SQL: dict[str, str] = {
+    "op3_minhash": minhash.SQL,
     "op5_url_filters": url_filter.SQL,
     "op9_mixing": mixing.SQL,
 }

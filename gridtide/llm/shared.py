@@ -3,6 +3,7 @@ broadcasts, connected components, and word hashes of whole texts."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import join_path, work_folder
+from ..session import join_path, pin, work_folder
 
 # The characters that end a word.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -21,6 +22,18 @@ BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 1_000_000
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Settings the results depend on; Python workers on this machine find the package where the driver has it
+    (on a cluster it is installed or sent with ``--py-files``)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH")) if x)
+    return pin(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 

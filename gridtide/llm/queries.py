@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, quality_rules, url_filter
+from . import bpe, minhash, mixing, quality_rules, repair, url_filter
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,9 @@ QUERIES: dict[str, Run] = {
     "op1_quality_rules": _over("documents", quality_rules.op1),
     "op3_minhash": _over("documents", minhash.op3),
     "op5_url_filters": _over("pages", url_filter.op5),
+    "op7_byte_bpe": _over("documents", bpe.op7),
     "op9_mixing": _over("documents", mixing.op9),
+    "op10_repair_shards": _over("documents", repair.op10),
 }
 
 SQL: dict[str, str] = {

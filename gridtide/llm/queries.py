@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality_rules, repair, url_filter
+from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, url_filter
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(name: str, run: Callable[[SparkSession, DataFrame], DataFrame]) -> Run
 
 QUERIES: dict[str, Run] = {
     "op1_quality_rules": _over("documents", quality_rules.op1),
+    "op2_line_dedup": _over("documents", line_dedup.op2),
     "op3_minhash": _over("documents", minhash.op3),
     "op5_url_filters": _over("pages", url_filter.op5),
     "op7_byte_bpe": _over("documents", bpe.op7),

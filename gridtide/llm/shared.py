@@ -122,20 +122,21 @@ class Words:
     """Words of a run of texts: their hashes, byte spans, and the first word of each text.
 
     Hashes are of the bytes with A-Z in lower case, so equal words have equal
-    hashes in every task. ``prefixes`` adds hashes of the first k bytes.
+    hashes in every task. ``prefixes`` adds hashes of the first k bytes; ``folded``
+    and ``blank`` are tables over bytes, for another folding and other separators.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = (), folded=LOWER, blank=SPACE):
         hashes, starts, ends, heads = [], [], [], []
         size, at = len(data), 0
         while at < size:
             to = min(at + CHUNK_BYTES, size)
             if to < size:  # end at a blank or at the end of a text
                 text_end = int(offsets[np.searchsorted(offsets, to)])
-                blank = SPACE[data[to:text_end]]
-                to = to + int(blank.argmax()) if blank.any() else text_end
+                gap = blank[data[to:text_end]]
+                to = to + int(gap.argmax()) if gap.any() else text_end
             lo, hi = np.searchsorted(offsets, (at, to))
-            part = self._part(data[at:to], offsets[lo:hi] - at, prefixes)
+            part = self._part(data[at:to], offsets[lo:hi] - at, prefixes, folded, blank)
             hashes.append(part[0])
             starts.append(part[1] + at)
             ends.append(part[2] + at)
@@ -147,8 +148,8 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets).astype(np.int64)
 
     @staticmethod
-    def _part(data, cuts, prefixes):
-        low, word = LOWER[data], ~SPACE[data]
+    def _part(data, cuts, prefixes, folded, blank):
+        low, word = folded[data], ~blank[data]
         start = word.copy()
         start[1:] &= ~word[:-1]
         cuts = cuts[(cuts >= 0) & (cuts < len(data))]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, url_filter
+from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, toxicity, url_filter
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ QUERIES: dict[str, Run] = {
     "op2_line_dedup": _over("documents", line_dedup.op2),
     "op3_minhash": _over("documents", minhash.op3),
     "op5_url_filters": _over("pages", url_filter.op5),
+    "op6_toxicity": lambda spark, sf_dir: toxicity.op6(ready(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op7_byte_bpe": _over("documents", bpe.op7),
     "op9_mixing": _over("documents", mixing.op9),
     "op10_repair_shards": _over("documents", repair.op10),

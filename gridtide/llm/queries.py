@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, toxicity, url_filter
+from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, toxicity, url_filter, vptree
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Run] = {
     "op1_quality_rules": _over("documents", quality_rules.op1),
     "op2_line_dedup": _over("documents", line_dedup.op2),
     "op3_minhash": _over("documents", minhash.op3),
+    "op4_vp_trees": _over("embeddings", vptree.op4),
     "op5_url_filters": _over("pages", url_filter.op5),
     "op6_toxicity": lambda spark, sf_dir: toxicity.op6(ready(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op7_byte_bpe": _over("documents", bpe.op7),
@@ -29,6 +30,7 @@ QUERIES: dict[str, Run] = {
 
 SQL: dict[str, str] = {
     "op3_minhash": minhash.SQL,
+    "op4_vp_trees": vptree.SQL,
     "op5_url_filters": url_filter.SQL,
     "op9_mixing": mixing.SQL,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, minhash, mixing, quality_rules, repair, toxicity, url_filter, vptree
+from . import bpe, line_dedup, lm, minhash, mixing, quality_rules, repair, toxicity, url_filter, vptree
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, Run] = {
     "op5_url_filters": _over("pages", url_filter.op5),
     "op6_toxicity": lambda spark, sf_dir: toxicity.op6(ready(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op7_byte_bpe": _over("documents", bpe.op7),
+    "op8_lm_scoring": _over("documents", lm.op8),
     "op9_mixing": _over("documents", mixing.op9),
     "op10_repair_shards": _over("documents", repair.op10),
 }

@@ -1,19 +1,20 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A document's set are its distinct word shingles. SLOTS minimum hashes make its
-signature; b = 8 bits of each slot are kept to compare, and the distance of two
-signatures is the number of slots that differ. The slots are split into chunks of
-four. Two signatures that differ in at most 2 * chunks - 1 slots have, by the
+A document's set are its distinct word shingles. Of SLOTS minimum hashes, b = 4 bits
+each make its signature; the first KEYED slots are split into chunks of four. Two
+documents that differ in at most 2 * CHUNKS - 1 = 31 of these slots have, by the
 pigeonhole principle, a chunk with at most one differing slot; so each chunk gives
 a key for each place where that one error may be (three of its four slots), and
 every pair under the distance shares a key. At the similarity of 0.75 a pair
-exceeds that distance (31 of 64) with a probability near 1e-5, at 0.8 near 1e-8.
-Candidates are confirmed on full sets, and components are taken over what is left.
+exceeds that distance with a probability near 1e-5, at 0.8 near 1e-8. Pairs that share
+a key are compared by the whole signatures (MOST_DIFFERING is 4.3 standard
+deviations above the mean at 0.75), and then confirmed on full sets.
 
 Hot groups: documents with equal sets are one class from the beginning. In a
-bucket, each class is first compared with the bucket's pivots only (linear in the
-bucket), and then only classes of different components are compared with each
-other, with the distance inside the join. So a group of near copies costs its size
+bucket, each class is first compared with some pivots only, the member that meets most
+others and PIVOTS drawn by hash; this is linear in the bucket. Then only classes that
+are not connected yet are compared with each other, with the distance inside the join,
+and at the first key they share only. So a group of near copies costs about its size
 and not its square, and no pair of the pigeonhole guarantee goes untested unless its
 ends are connected already. Texts are read by scans, not shuffled; full sets are
 made only for the classes in candidate pairs.
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 from .shared import Words, components, mix, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
-SLOTS, CHUNK = 64, 4
-CHUNKS = SLOTS // CHUNK
-MOST_DIFFERING = 2 * CHUNKS - 1
-PIVOTS = 4
+SLOTS, KEYED, CHUNK = 256, 64, 4
+CHUNKS = KEYED // CHUNK
+MOST_DIFFERING = 90
+PIVOTS = 16
 SIMILAR = (75, 100)
 
 _draw = np.random.default_rng(20240229)
@@ -81,7 +82,7 @@ SKETCH = "doc_id long, n_shingles long, node long, sketch array<long>, keys arra
 
 
 def _sketches(batches):
-    """For each text: size and hash of its set, 8 bits per slot as 8 longs, and its keys."""
+    """For each text: size and hash of its set, 4 bits per slot as longs, and its keys."""
     masks = [[i for i in range(CHUNK) if i != hole] for hole in range(CHUNK)]
     for batch in batches:
         for lo, hi, data, offsets in text_runs(batch.column("text")):
@@ -92,8 +93,9 @@ def _sketches(batches):
             for k in range(SLOTS):
                 slots[:, k] = segments((sets ^ _XOR[k]) * _ODD[k], first, np.minimum)
             slots = mix(slots)
-            bits = np.ascontiguousarray((slots >> np.uint64(56)).astype(np.uint8)).view("<i8")
-            keys = np.zeros((hi - lo, SLOTS), dtype=np.uint64)
+            half = (slots >> np.uint64(60)).astype(np.uint8)
+            bits = np.ascontiguousarray(half[:, ::2] | half[:, 1::2] << 4).view("<i8")
+            keys = np.zeros((hi - lo, KEYED), dtype=np.uint64)
             for c in range(CHUNKS):
                 for hole, kept in enumerate(masks):
                     k = c * CHUNK + hole
@@ -107,7 +109,7 @@ def _sketches(batches):
                     pa.array(n, pa.int64()),
                     pa.array(signed(node), mask=~full),
                     _lists(bits, full),
-                    _lists(signed(keys.ravel()).reshape(-1, SLOTS), full),
+                    _lists(signed(keys.ravel()).reshape(-1, KEYED), full),
                 ],
                 names=["doc_id", "n_shingles", "node", "sketch", "keys"],
             )
@@ -134,16 +136,23 @@ def _full_sets(batches):
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Slots that differ between two sketches: bytes of the exclusive or that are not 0."""
+    """Slots that differ between two sketches: half bytes of the exclusive or that are not 0."""
     total = F.lit(0)
-    for k in range(SLOTS // 8):
+    for k in range(SLOTS // 16):
         x = a[k].bitwiseXOR(b[k])
-        for shift in (4, 2, 1):
+        for shift in (2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
     return total
 
 
+def least_within_two(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest node within two links of a node."""
+    both = links.union(links.select("b", "a")).toDF("u", "v")
+    one = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+    return both.join(one.toDF("v", "w"), "v").groupBy("u").agg(F.min("w").alias("root")).toDF("node", "root")
+
+
 class NearDuplicates:
     """The steps over one table; each result that is read twice is a written table."""
 
@@ -161,34 +170,42 @@ class NearDuplicates:
         )
 
     def buckets(self) -> DataFrame:
-        """(key, node, n, sketch) of the classes in buckets of two or more."""
+        """(key, node, n, sketch, hub) of the classes in buckets of two or more; hub: members it meets in all its buckets."""
         keyed = self.rows.where("n_shingles > 0").groupBy("node").agg(F.any_value("keys").alias("keys"))
         keyed = keyed.select("node", F.explode("keys").alias("key"))
-        shared = keyed.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
+        shared = keyed.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
         members = keyed.join(shared, "key")
-        return members.join(self.classes.select("node", "n", "sketch"), "node").select("key", "node", "n", "sketch")
+        hubs = members.groupBy("node").agg(F.sum("met").alias("hub"))
+        return members.drop("met").join(self.classes.join(hubs, "node").select("node", "n", "sketch", "hub"), "node")
 
     def may_link(self, n1: Column, n2: Column, s1: Column, s2: Column) -> Column:
         part, whole = self.similar
         return (F.least(n1, n2) * whole >= F.greatest(n1, n2) * part) & (differing(s1, s2) <= MOST_DIFFERING)
 
     def pivot_pairs(self, members: DataFrame) -> DataFrame:
-        """Each member of a bucket with one pivot of it. Which pivot leads a bucket
-        depends on the key, so members of several buckets meet several pivots."""
-        rank = F.struct(F.xxhash64("node", F.pmod("key", F.lit(PIVOTS))), "node", "n", "sketch")
-        lead = members.groupBy("key").agg(F.min(rank).alias("p")).select("key", "p.*").toDF("key", "h", "pivot", "pn", "ps")
+        """Each member of a bucket with the member that meets most others, and with one
+        drawn by hash; the draw depends on the key, so members meet several pivots."""
+        one = F.struct("node", "n", "sketch")
+        drawn = F.xxhash64("node", F.pmod("key", F.lit(PIVOTS)))
+        lead = members.groupBy("key").agg(F.max_by(one, F.struct("hub", "node")).alias("h"), F.min_by(one, F.struct(drawn, "node")).alias("d"))
+        both = F.explode(F.array_distinct(F.array("h", "d")))
+        lead = lead.select("key", both.alias("p")).select("key", "p.*").toDF("key", "pivot", "pn", "ps")
         ok = (F.col("node") != F.col("pivot")) & self.may_link(F.col("n"), F.col("pn"), F.col("sketch"), F.col("ps"))
         pairs = members.join(lead, "key").where(ok)
         return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def open_pairs(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs within a bucket whose ends are in different components so far."""
+        """Pairs within a bucket whose ends are not known to be connected, each at the first key it shares."""
         named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        open_rows = stored(self.spark, named.join(split, "key"), "open")
-        left = open_rows.select("key", *[F.col(c).alias("l_" + c) for c in ("node", "n", "sketch", "root")])
+        open_keys = named.select("key", "node", "n", "sketch", "root").join(split, "key")
+        # Shared keys are told by 32 bits here: 64 short keys a row.
+        own = open_keys.groupBy("node").agg(F.sort_array(F.collect_list(F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))).alias("own"))
+        open_rows = stored(self.spark, open_keys.join(own, "node"), "open")
+        left = open_rows.toDF(*["l_" + c for c in open_rows.columns])
         ok = (F.col("l_root") < F.col("root")) & self.may_link(F.col("l_n"), F.col("n"), F.col("l_sketch"), F.col("sketch"))
-        met = left.join(open_rows, (left["key"] == open_rows["key"]) & ok)
+        first = F.get(F.array_intersect("l_own", "own"), 0) == F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+        met = left.join(open_rows, (F.col("l_key") == F.col("key")) & ok & first)
         return met.select(F.least("l_node", "node").alias("a"), F.greatest("l_node", "node").alias("b")).distinct()
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
@@ -215,9 +232,10 @@ class NearDuplicates:
         """(node, component): the smallest doc_id of all classes linked with a class."""
         members = stored(self.spark, self.buckets(), "members")
         links = stored(self.spark, self.confirmed(self.pivot_pairs(members)), "links")
-        roots = components(self.spark, links)
-        more = stored(self.spark, self.confirmed(self.open_pairs(members, roots)), "links")
-        roots = components(self.spark, links.union(more))
+        # Two steps are enough for members around one pivot; what they miss only stays open.
+        near = stored(self.spark, least_within_two(links), "near")
+        more = self.confirmed(self.open_pairs(members, near))
+        roots = components(self.spark, near.toDF("a", "b").union(links).union(more))
         named = self.classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component"))
         return named.join(smallest, "root").select("node", "component")

@@ -146,11 +146,13 @@ def differing(a: Column, b: Column) -> Column:
     return total
 
 
-def least_within_two(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node within two links of a node."""
+def least_within(links: DataFrame, steps: int) -> DataFrame:
+    """(node, root): the smallest node within ``steps`` links of a node, in one job."""
     both = links.union(links.select("b", "a")).toDF("u", "v")
-    one = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    return both.join(one.toDF("v", "w"), "v").groupBy("u").agg(F.min("w").alias("root")).toDF("node", "root")
+    least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+    for _ in range(steps - 1):
+        least = both.join(least.toDF("v", "w"), "v").groupBy("u").agg(F.min(F.least("u", "w")).alias("m"))
+    return least.toDF("node", "root")
 
 
 class NearDuplicates:
@@ -232,8 +234,8 @@ class NearDuplicates:
         """(node, component): the smallest doc_id of all classes linked with a class."""
         members = stored(self.spark, self.buckets(), "members")
         links = stored(self.spark, self.confirmed(self.pivot_pairs(members)), "links")
-        # Two steps are enough for members around one pivot; what they miss only stays open.
-        near = stored(self.spark, least_within_two(links), "near")
+        # A few steps reach all members around shared pivots; what they miss only stays open.
+        near = stored(self.spark, least_within(links, 5), "near")
         more = self.confirmed(self.open_pairs(members, near))
         roots = components(self.spark, near.toDF("a", "b").union(links).union(more))
         named = self.classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -1,0 +1,33 @@
+"""The corpus pipeline: each stage's decisions on its own input."""
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from gridtide.llm import bpe, minhash
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def test_stages(llm):
+    docs = llm.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"] for r in docs.collect()}
+        docs = corpus_pipeline.stored(llm, stage(llm, docs, SF_DIR), name)
+        assert docs.columns == columns
+        rows = docs.collect()
+        assert {r["doc_id"] for r in rows} <= before
+        assert len(rows) >= 0.5 * len(before)
+        seen[name] = rows
+    assert minhash.op3(llm, llm.createDataFrame(seen["minhash"], docs.schema)).where("NOT kept").count() == 0
+    out = corpus_pipeline.STAGES[-1][1](llm, docs, SF_DIR).collect()
+    want = sorted((r["doc_id"], len(bpe.encoding().encode_ordinary(r["text"] or ""))) for r in seen["mixing"])
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in out) == want
+
+
+def test_run(llm):
+    assert corpus_pipeline.run(llm, SF_DIR).count() > 50

@@ -1,0 +1,68 @@
+"""Search in vectors, and urls with links, against brute force."""
+
+import numpy as np
+
+from gridtide.llm import url_filter, vptree
+
+
+def brute(ids, vectors, q, k):
+    s = vptree.cosine(np.repeat(vectors[q : q + 1], len(ids), axis=0), vectors)
+    order = [i for i in np.lexsort((ids, -s)) if ids[i] != ids[q]]
+    return [(int(ids[i]), s[i]) for i in order[:k]]
+
+
+def test_factor_one_is_exact_and_less_keeps_recall():
+    draw = np.random.default_rng(0)
+    centres = draw.standard_normal((20, 16))
+    vectors = centres[draw.integers(0, 20, 1500)] + 0.3 * draw.standard_normal((1500, 16))
+    vectors[100:160] = vectors[100]
+    ids = draw.permutation(1500)
+    tree = vptree.build(ids, vectors)
+    assert sorted(tree.ids) == sorted(ids)
+    ask = np.arange(0, 1500, 25)
+    exact = vptree.search(tree, ids[ask], vectors[ask], 5)
+    for q, (near, score) in zip(ask, exact):
+        assert list(zip(near.tolist(), score)) == brute(ids, vectors, q, 5)
+    loose = vptree.search(tree, ids[ask], vectors[ask], 5, factor=0.5)
+    found = sum(len(set(a[0]) & set(b[0])) for a, b in zip(exact, loose))
+    assert found >= 0.9 * 5 * len(ask)
+
+
+def test_search_over_shards(llm):
+    draw = np.random.default_rng(1)
+    vectors = draw.standard_normal((400, 8)).astype(np.float32)
+    table = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    trees = vptree.index(llm, table, shard_rows=50)
+    assert trees.count() > 4
+    queries = table.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    got = {}
+    for r in vptree.nearest(llm, trees, queries, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    ids = np.arange(400)
+    assert got == {q: brute(ids, vectors.astype(np.float64), q, 5) for q in range(0, 400, 50)}
+
+
+def test_decisions_reach_aliases(llm):
+    canonical = "<LINK href='{}' REL=\"canonical\">"
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'
+    pages = [
+        (1, "http://a.test/x", canonical.format("https://b.test/y")),
+        (2, "http://b.test/y/", refresh.format("http://shop.bad.net/")),  # blocked by net/
+        (3, "http://c.test/z", canonical.format("/x")),  # its own host
+        (4, "http://www.example.net/en/k", canonical.format("http://a.test/x")),  # an explicit allow of its own
+        (5, "http://d.test/q", refresh.format("//e.net/r")),
+        (6, "http://f.test/", "<p>canonical</p>"),
+        (7, "http://example.org/fr/1", ""),
+        (8, "http://g.test/", canonical.format("http://example.org/fr/1")),
+    ]
+    rows = llm.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.op5(llm, rows).collect()}
+    # 1, 2, the bad shop and page 4's url are one component: the allow in it goes first
+    assert got[1] == got[2] == (None, "allow")
+    assert got[4] == ("example.net/en/", "allow")
+    assert got[3] == (None, "allow") and got[6] == (None, "allow") and got[8] == (None, "allow")
+    assert got[5] == (None, "block")
+    without = {r["page_id"]: r["verdict"] for r in url_filter.op5(llm, rows.where("page_id <> 4")).collect()}
+    assert without[1] == without[2] == "block"
+    log = llm.createDataFrame([("http://f.test/", "http://e.net/r")], "url string, target string")
+    assert {r["page_id"]: r["verdict"] for r in url_filter.judged(llm, rows, redirects=log).collect()}[6] == "block"

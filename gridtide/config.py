@@ -60,6 +60,7 @@ class Layout:
 
     root: str
     environment: str = "dev"
+    prefix: str = "gridtide"  # of the names under which SQL finds the layers
 
     def at(self, *parts: str) -> str:
         return join_path(self.root, self.environment, *parts)

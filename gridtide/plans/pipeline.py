@@ -12,12 +12,13 @@ from ..config import Dataset, Layout
 from ..functions.typing import to_typed
 from ..operators import control
 from ..operators.silver import CONSUMPTION, SOLAR, TRANSFORMATIONS, WIND, consumption, dispatch
-from ..operators.windows import assign_windows, plan_windows
+from ..operators.windows import place_records, plan_windows
 from ..schemas import CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
-from ..session import pin
-from ..sources.catalog import create_schemas, publish_table, publish_views
-from ..sources.landing import write_landing
+from ..session import join_path, pin
+from ..sources.catalog import create_schemas, publish_table, publish_views, schema_name
+from ..sources.landing import rejected_counts, write_landing
 from ..sources.sliced import SlicedTable
+from ..sources.tables import delete_folder, literal_rows, path_exists, write_static
 from ..streaming.bronze import RULE_COUNTS, bronze_schema, run_bronze
 from ..streaming.gold import (
     CHANGING_TABLES,
@@ -60,14 +61,41 @@ def ensure_control(
 def land(
     active: DataFrame, feed: Feed, layout: Layout, now: Column, gathered: bool = False
 ) -> None:
-    """Fetch what the windows ask for and store it per dataset and window."""
+    """Fetch what the windows ask for and store it per dataset and window; records that
+    no window takes are landed as rejected, by reason."""
     records = feed(plan_windows(active, now))
-    write_landing(assign_windows(records, active, now), layout.landing, gathered)
+    write_landing(place_records(records, active, now), layout.landing, gathered)
+
+
+class PendingRun:
+    """The end of a run that is not complete, and whether its windows are landed. A run
+    that is repeated takes the same end, and does not land again what streams may have
+    read already: files under new names would be read once more."""
+
+    def __init__(self, spark: SparkSession, layout: Layout):
+        self.spark, self.folder = spark, layout.at("landing_admin", "pending_run")
+
+    def end(self, proposed: dt.datetime) -> dt.datetime:
+        path = join_path(self.folder, "end")
+        if path_exists(self.spark, join_path(path, "_SUCCESS")):
+            return dt.datetime.fromisoformat(self.spark.read.schema("until string").parquet(path).first().until)
+        write_static(literal_rows(self.spark, [(proposed.isoformat(),)], until="string"), path)
+        return proposed
+
+    def landed(self) -> bool:
+        return path_exists(self.spark, join_path(self.folder, "landed", "_SUCCESS"))
+
+    def mark_landed(self) -> None:
+        write_static(literal_rows(self.spark, [(1,)], n="int"), join_path(self.folder, "landed"))
+
+    def finish(self) -> None:
+        delete_folder(self.spark, self.folder)
 
 
 def marks_at(active: DataFrame, environment: str, now: Column) -> DataFrame:
-    """Every loaded dataset is complete up to the time of the run."""
-    return active.select(
+    """Every dataset that had windows is complete up to the time of the run."""
+    planned = active.where(to_typed("last_timestamp", "timestamp") < now)
+    return planned.select(
         "source_dataset_id", F.lit(environment).alias("environment"), now.alias("mark")
     )
 
@@ -88,27 +116,33 @@ def run_streams(
     layout: Layout,
     datasets: Sequence[Dataset],
     now: Column | None = None,
+    bronze_options: dict[str, str] | None = None,
+    silver_options: dict[str, str] | None = None,
+    gold_options: dict[str, str] | None = None,
     **limits: str,
 ) -> dict[str, dict[str, int]]:
     """Bring bronze, silver and gold up to date; gives the rule counts per table.
 
     The streams of a layer do not depend on each other and run side by side.
+    ``limits`` are options of the file source for all layers, the others for one: what
+    moves or deletes files that were read, cleanSource, is for bronze alone.
     """
+    of_bronze, of_silver, of_gold = ({**limits, **(o or {})} for o in (bronze_options, silver_options, gold_options))
     store_dimensions(spark, layout)
     with ObservedCounts(spark, RULE_COUNTS) as counts:
-        raw = finish(run_bronze(spark, layout, d, now, **limits) for d in datasets)
+        raw = finish(run_bronze(spark, layout, d, now, **of_bronze) for d in datasets)
         totals = {d.bronze_table: counts.of(query) for d, query in zip(datasets, raw)}
     typed = dispatch(datasets, TRANSFORMATIONS)
-    finish(run_silver(spark, layout, d, transform, now, **limits) for d, transform in typed)
+    finish(run_silver(spark, layout, d, transform, now, **of_silver) for d, transform in typed)
 
     generating = [d for d in datasets if d.id in (WIND, SOLAR)]
     consuming = [d for d in datasets if d.id == CONSUMPTION]
     gold = []
     if generating:
-        gold.append(run_fact_generation(spark, layout, generating, now, **limits))
+        gold.append(run_fact_generation(spark, layout, generating, now, **of_gold))
     for dataset in consuming:
-        gold.append(run_fact_consumption(spark, layout, dataset, now, **limits))
-        gold.append(run_dim_customer_type(spark, layout, dataset, **limits))
+        gold.append(run_fact_consumption(spark, layout, dataset, now, **of_gold))
+        gold.append(run_dim_customer_type(spark, layout, dataset, **of_gold))
     finish(gold)
     return totals
 
@@ -134,9 +168,18 @@ def publish(spark: SparkSession, layout: Layout, datasets: Sequence[Dataset]) ->
     for name, build in DIMENSIONS.items():
         comment = f"Generated dimension {name}."
         publish_table(spark, layout, "gold", name, layout.gold(name), build(spark).schema, comment)
-    changing = [("gold", name, table) for name, table in gold_tables(layout).items()]
-    changing.append(("landing_admin", "meta_control_table", control_table(layout)))
-    publish_views(spark, layout, changing)
+    publish_views(spark, layout, changing_tables(layout))
+
+
+def changing_tables(layout: Layout) -> list[tuple[str, str, SlicedTable]]:
+    gold = [("gold", name, table) for name, table in gold_tables(layout).items()]
+    return [*gold, ("landing_admin", "meta_control_table", control_table(layout))]
+
+
+def republish(spark: SparkSession, layout: Layout) -> None:
+    """Point the names of changing tables at their newest versions, if they are published."""
+    if spark.catalog.databaseExists(schema_name(layout, "gold")):
+        publish_views(spark, layout, changing_tables(layout))
 
 
 def run_pipeline(
@@ -146,28 +189,38 @@ def run_pipeline(
     feed: Feed,
     now: dt.datetime | None = None,
     seed: DataFrame | None = None,
-    keep_versions: int | None = None,
+    keep_versions: int | None = 10,
     gathered: bool = False,
-    **limits: str,
+    **limits,
 ) -> dict[str, dict[str, int]]:
     """Control table, landing, streams, and last the watermark.
 
-    One time, ``now``, ends the windows and becomes the watermark. A run that
-    stops anywhere before the end is repeated from the same watermark: its
-    windows are landed again and the upserts absorb them. With
-    ``keep_versions`` older versions of the changing tables are deleted. A feed
-    whose records come window by window is ``gathered``.
+    One time, ``now``, ends the windows, is the arrival time in all layers, and becomes
+    the watermark. A run that stops anywhere before its end is repeated with the same
+    end, whatever ``now`` says, and windows that are landed are not landed again, so
+    bronze and silver do not double. Counts of records that no window took come under
+    ``rejected``. Of changing tables ``keep_versions`` versions stay. A feed whose records
+    come window by window is ``gathered``. ``limits`` may hold options of one layer,
+    see ``run_streams``.
     """
     pin(spark)
-    until = F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    pending = PendingRun(spark, layout)
+    until = F.lit(pending.end(now or dt.datetime.now(dt.timezone.utc))).cast("timestamp")
     first_rows = control.default_seed(spark) if seed is None else seed
     table = ensure_control(spark, layout, first_rows, until)
     rows = table.read(spark)
     active = control.active_datasets(rows, layout.environment)
-    land(active, feed, layout, until, gathered)
-    totals = run_streams(spark, layout, datasets, **limits)
+    if not pending.landed():
+        land(active, feed, layout, until, gathered)
+        pending.mark_landed()
+    totals = run_streams(spark, layout, datasets, until, **limits)
+    refused = {r.reason: r.n for r in rejected_counts(spark, layout.landing, until).collect()}  # one row per reason
+    if refused:
+        totals["rejected"] = refused
     marks = marks_at(active, layout.environment, until)
     table.replace(spark, control.advance_watermark(rows, marks))
+    pending.finish()
+    republish(spark, layout)
     if keep_versions:
         for changing in (table, *gold_tables(layout).values()):
             changing.prune(spark, keep_versions)

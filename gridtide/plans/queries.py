@@ -483,8 +483,8 @@ def star_rollout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""SELECT c.customer_type, d.is_weekend, count(*) AS n_facts, CAST(sum(f.reading_count) AS BIGINT) AS readings
         FROM ({SQL_FACT_CONSUMPTION}) f
-        JOIN ({SQL_DIM_CUSTOMER_TYPE}) c ON c.customer_type = f.customer_type
-        JOIN ({SQL_DIM_DATE}) d ON d.date_id = f.start_date_id
+        LEFT JOIN ({SQL_DIM_CUSTOMER_TYPE}) c ON c.customer_type = f.customer_type
+        LEFT JOIN ({SQL_DIM_DATE}) d ON d.date_id = f.start_date_id
         GROUP BY ALL"""
 )
 def star_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,8 +495,10 @@ def star_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("customer_type")
     facts = latest_per_key(_consumption_fact(spark, sf_dir), CONSUMPTION_KEYS)
     return (
-        facts.join(kinds, "customer_type")
-        .join(lookups.broadcast_if_small(dates), "start_date_id")
+        facts.join(kinds.withColumnRenamed("customer_type", "known_type"), F.col("customer_type") == F.col("known_type"), "left")
+        .drop("customer_type")
+        .withColumnRenamed("known_type", "customer_type")
+        .join(lookups.broadcast_if_small(dates), "start_date_id", "left")
         .groupBy("customer_type", "is_weekend")
         .agg(F.count(F.lit(1)).alias("n_facts"), F.sum("reading_count").alias("readings"))
     )
@@ -524,6 +526,12 @@ def control_active_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _active(spark, sf_dir)
 
 
+@query(f"SELECT count(*) AS n_active FROM ({SQL_CONTROL}) WHERE is_active AND environment = 'dev'")
+def control_active_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many datasets there are to load."""
+    return _active(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_active"))
+
+
 SQL_ACTIVE = f"(SELECT * FROM ({SQL_CONTROL}) WHERE is_active)"
 
 

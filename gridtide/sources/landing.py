@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.typing import as_column
+from ..functions.typing import as_column, compact_text
 from ..operators.windows import batch_name
 from ..schemas import CORRUPT_COLUMN, LANDING, TEXT
+from .tables import ANY_AGE, path_exists
 
 
 def dataset_key(dataset_id, dataset_name):
@@ -26,9 +27,33 @@ def dataset_key(dataset_id, dataset_name):
     return F.concat_ws("_", as_column(dataset_id).cast("string"), name)
 
 
+# Where records lie that no window took: one folder per reason and run.
+REJECTED = "_rejected"
+
 WINDOW_COLUMNS = ("source_dataset_id", "source_dataset_name", "window_start", "window_end")
 
 
+def _folders(records: DataFrame) -> list:
+    dataset = dataset_key("source_dataset_id", "source_dataset_name")
+    batch = batch_name(F.col("window_start"), F.col("window_end"))
+    if "rejected" in records.columns:
+        refused = F.col("rejected").isNotNull()
+        dataset = F.when(refused, F.lit(REJECTED)).otherwise(dataset)
+        batch = F.when(refused, F.concat_ws("_at_", "rejected", compact_text("rejected_at"))).otherwise(batch)
+    return [dataset.alias("dataset"), batch.alias("batch")]
+
+
+def rejected_counts(spark: SparkSession, root: str, at) -> DataFrame:
+    """(reason, n) of the records that the run ending ``at`` landed in no window."""
+    ends = F.concat(F.lit("_at_"), compact_text(at))
+    folder = f"{root.rstrip('/')}/dataset={REJECTED}"
+    if not path_exists(spark, folder):
+        return spark.range(0).select(F.lit("").alias("reason"), F.lit(0).cast("long").alias("n"))
+    rows = spark.read.schema("value string, batch string").option("basePath", folder).json(folder)
+    mine = rows.where(F.col("batch").endswith(ends))
+    return mine.groupBy(F.regexp_replace("batch", "_at_[^_]*$", "").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def write_landing(records: DataFrame, root: str, gathered: bool = False) -> None:
     """Land records that carry their dataset and window (see ``assign_windows``);
     all their other columns are fields.
@@ -40,9 +65,8 @@ def write_landing(records: DataFrame, root: str, gathered: bool = False) -> None
     ``gathered`` already and need no shuffle.
     """
     shaped = records.select(
-        dataset_key("source_dataset_id", "source_dataset_name").alias("dataset"),
-        batch_name(F.col("window_start"), F.col("window_end")).alias("batch"),
-        *[name for name in records.columns if name not in WINDOW_COLUMNS],
+        *_folders(records),
+        *[name for name in records.columns if name not in (*WINDOW_COLUMNS, "rejected", "rejected_at")],
     )
     placed = shaped if gathered else shaped.hint("rebalance", "dataset", "batch")
     (
@@ -100,6 +124,6 @@ def stream_landing(
     source such as maxFilesPerTrigger, maxBytesPerTrigger or cleanSource."""
     return (
         spark.readStream.schema(landing_schema(extra_fields))
-        .options(**_options(multi_line), **limits)
+        .options(**{**ANY_AGE, **_options(multi_line), **limits})
         .json(path)
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,11 +46,15 @@ def patiently(get_page: GetPage, pause: float, *request) -> tuple[list[dict], in
     raise AssertionError("unreachable")
 
 
-def pages_of(get_page: GetPage, pause: float, window: tuple) -> Iterator[list[dict]]:
-    """All pages of a window; an empty page or no next page ends it."""
+def pages_of(
+    get_page: GetPage, pause: float, window: tuple, between: float = 0.0
+) -> Iterator[list[dict]]:
+    """All pages of a window, ``between`` seconds apart; an empty page or no next page ends it."""
     dataset_id, start, end, page_size = window
     page: int | None = 1
     while page is not None:
+        if page != 1 and between:
+            time.sleep(between)
         records, page = patiently(get_page, pause, dataset_id, start, end, page, page_size)
         if not records:
             return
@@ -63,20 +67,26 @@ def as_text(value: object) -> str | None:
 
 
 def fetch_windows(
-    windows: DataFrame, get_page: GetPage, tasks: int, pause: float = FIRST_PAUSE
+    windows: DataFrame,
+    get_page: GetPage,
+    tasks: int,
+    pause: float = FIRST_PAUSE,
+    between: float = 0.0,
+    extra_fields: Sequence[str] = (),
 ) -> DataFrame:
-    """Records of all windows, each with its dataset id.
+    """Records of all windows, each with its dataset id; the usual fields and ``extra_fields``.
 
     ``tasks`` is how many windows are asked for at a time; a source that limits
     the rate of requests sets how high it may be.
     """
-    fields = LANDING.fieldNames()
-    schema = T.StructType([T.StructField("source_dataset_id", INT), *LANDING.fields])
+    more = [T.StructField(f, T.StringType()) for f in extra_fields if f not in LANDING.fieldNames()]
+    fields = [f.name for f in (*LANDING.fields, *more)]
+    schema = T.StructType([T.StructField("source_dataset_id", INT), *LANDING.fields, *more])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for window in batch.itertuples(index=False, name=None):
-                for records in pages_of(get_page, pause, window):
+                for records in pages_of(get_page, pause, window, between):
                     yield pd.DataFrame(
                         [(window[0], *[as_text(r.get(f)) for f in fields]) for r in records],
                         columns=schema.names,

@@ -107,6 +107,11 @@ class SlicedTable:
             return empty_table(spark, self.schema)
         return spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(*folders)
 
+    def folders(self, spark: SparkSession) -> list[str]:
+        """Folders of the current version, one per slice."""
+        known = self.snapshot(spark).slices
+        return [join_path(self._data, f"v={version}", f"slice={s}") for s, version in sorted(known.items())]
+
     def touched(self, changes: DataFrame) -> list[int]:
         """Slices a change falls into: a narrow distinct over the key columns."""
         return [r.slice for r in changes.select(self.slicing().alias("slice")).distinct().collect()]

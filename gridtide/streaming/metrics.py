@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import warnings
 from collections import defaultdict
 
 from pyspark.sql import SparkSession
@@ -48,8 +49,9 @@ class ObservedCounts(StreamingQueryListener):
         self._ended[str(event.runId)].set()
 
     def of(self, query: StreamingQuery) -> dict[str, int]:
-        """Counts of a finished run; empty if it had nothing to read. Events come
+        """Counts of a finished run; empty if it had nothing to read, or if its end is not told in time. Events come
         in order, so all counts are in once the end of the run was told."""
         if not self._ended[str(query.runId)].wait(self._patience):
-            raise TimeoutError(f"run {query.runId} did not report its end")
+            warnings.warn(f"run {query.runId} did not report its end; its counts are left out", stacklevel=2)
+            return {}
         return dict(self._totals[str(query.runId)])

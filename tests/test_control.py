@@ -74,7 +74,6 @@ def test_plan(spark, rows):
         (2, "b", "2025-02-15T12:00:00", 1),  # equal to now
         (3, "c", "2025-03-01T00:00:00", 1),  # after now
         (4, "d", "2025-02-14T12:00:00", 1),  # exactly one window
-        (5, "e", None, 1),
     )
     got = plan_windows(datasets, at("2025-02-15 12:00:00"))
     assert rows(got.select("source_dataset_id", batch_name(F.col("window_start"), F.col("window_end")))) == [
@@ -85,6 +84,12 @@ def test_plan(spark, rows):
     ]
 
 
+@pytest.mark.parametrize("bad", [(5, "e", None, 1), (5, "e", "2025-01-01T00:00:00", 0), (5, "e", "2025-01-01T00:00:00", -1)])
+def test_no_dataset_is_skipped_silently(spark, bad):
+    with pytest.raises(Exception, match="dataset 5"):
+        plan_windows(active(spark, (1, "a", "2025-01-01T00:00:00", 20), bad), at("2025-02-15 12:00:00")).collect()
+
+
 FIELDS = "source_dataset_id int, datasetId string, startTime string, endTime string, value string, additionalJson string"
 
 

@@ -56,6 +56,7 @@ def test_two_runs(spark, rows, layout):
         "total": 5, "failed_Rule1": 1, "failed_Rule2": 1,
     }
     assert totals["7_not_known_raw_table"] == {}
+    assert totals["rejected"] == {"before_mark": 1}
     generation = fact_generation_table(layout.gold("fact_generation_forecast"))
     keys = ("start_date_id", "start_time_id", "datasetId", "value_mwh")
     assert rows(generation.read(spark), *keys) == sorted(
@@ -102,15 +103,15 @@ def test_two_runs(spark, rows, layout):
 
     # all tables by name
     publish(spark, layout, DATASETS)
-    assert spark.sql("SELECT * FROM w_dev_bronze.`245_wind_power_generation_raw_table`").count() == 4
-    kept = spark.sql("SELECT quality FROM w_dev_bronze.`358_electricity_consumption_raw_table`")
+    assert spark.sql("SELECT * FROM gridtide_dev_bronze.`245_wind_power_generation_raw_table`").count() == 4
+    kept = spark.sql("SELECT quality FROM gridtide_dev_bronze.`358_electricity_consumption_raw_table`")
     assert rows(kept.distinct()) == [("ok",)]
-    assert spark.sql("SELECT * FROM w_dev_silver.`358_electricity_consumption`").count() == 3
-    assert spark.sql("SELECT * FROM w_dev_landing_admin_meta_control_table").count() == 3
+    assert spark.sql("SELECT * FROM gridtide_dev_silver.`358_electricity_consumption`").count() == 3
+    assert spark.sql("SELECT * FROM gridtide_dev_landing_admin.meta_control_table").count() == 3
     joined = spark.sql(
-        "SELECT d.year_month, g.generate_type, sum(f.value_mwh) FROM w_dev_gold_fact_generation_forecast f"
-        " JOIN w_dev_gold.dim_date d ON d.date_id = f.start_date_id"
-        " JOIN w_dev_gold.dim_generate_type g ON string(g.dataset_id) = f.datasetId"
+        "SELECT d.year_month, g.generate_type, sum(f.value_mwh) FROM gridtide_dev_gold.fact_generation_forecast f"
+        " JOIN gridtide_dev_gold.dim_date d ON d.date_id = f.start_date_id"
+        " JOIN gridtide_dev_gold.dim_generate_type g ON string(g.dataset_id) = f.datasetId"
         " GROUP BY ALL"
     )
     assert rows(joined) == [
@@ -118,7 +119,58 @@ def test_two_runs(spark, rows, layout):
     ]
     told = {
         r.col_name: r.data_type
-        for r in spark.sql("DESCRIBE EXTENDED w_dev_bronze.`245_wind_power_generation_raw_table`").collect()
+        for r in spark.sql("DESCRIBE EXTENDED gridtide_dev_bronze.`245_wind_power_generation_raw_table`").collect()
     }
     assert "landing zone" in told["Comment"] and "quality=bronze" in told["Table Properties"]
     publish(spark, layout, DATASETS)
+
+
+def bronze_rows(spark, layout):
+    return {d.key: spark.read.parquet(layout.bronze(d)).count() for d in DATASETS[:3]}
+
+
+def test_repeated_run_does_not_double(spark, layout, monkeypatch):
+    """A run that fails before its mark moves is repeated with the same end, and adds nothing."""
+    from gridtide.plans import pipeline
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline.control, "advance_watermark", fail)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, layout, DATASETS, feed_of(spark, FIRST), dt.datetime(2025, 2, 1, tzinfo=UTC))
+    before = bronze_rows(spark, layout)
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, FIRST), dt.datetime(2025, 2, 1, 5, tzinfo=UTC))
+    assert bronze_rows(spark, layout) == before
+    marks = control_table(layout).read(spark).select(F.col("last_timestamp").cast("string")).distinct()
+    assert [r[0] for r in marks.collect()] == ["2025-02-01 00:00:00"]
+
+
+def test_names_hold_in_other_sessions_and_after_pruning(spark, layout):
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, FIRST[:2]), dt.datetime(2025, 2, 1, tzinfo=UTC))
+    publish(spark, layout, DATASETS)
+    later = [reading(245, "2025-02-01T00:00:00Z", "10")]
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, later), dt.datetime(2025, 2, 2, tzinfo=UTC), keep_versions=1)
+    other = spark.newSession()
+    assert other.sql("SELECT * FROM gridtide_dev_gold.fact_generation_forecast").count() == 3
+    assert other.sql("SELECT * FROM gridtide_dev_landing_admin.meta_control_table").count() == 3
+
+
+def test_old_files_are_read(spark, tmp_path):
+    """A file much older than the newest one, added later, is not left out."""
+    import os
+    import time
+
+    from gridtide.sources.landing import stream_landing
+    from gridtide.streaming.runs import append_run, finish
+
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for n in range(2):
+        (folder / f"{n}.json").write_text('{"datasetId": "1"}\n')
+        if n:
+            os.utime(folder / f"{n}.json", (time.time() - 30 * 86400,) * 2)
+        stream = stream_landing(spark, str(folder))
+        finish([append_run(stream, out, str(tmp_path / "checkpoint"), "old_files")])
+    assert spark.read.parquet(out).count() == 2

@@ -6,16 +6,17 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from gridtide.plans.queries import CATALOG
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 # These run jobs to make their frame; their parts are planned like the batch queries.
-EAGER = {name for name in contract.queries() if name.startswith("stream_")} | {
+EAGER = {name for name in CATALOG if name.startswith("stream_")} | {
     "bronze_landing_roundtrip",
     "pipeline_facts",
 }
-LAZY = sorted(contract.queries().keys() - EAGER)
+LAZY = sorted(CATALOG.keys() - EAGER)
 
 
 def plan_of(frame):

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Words, components, mix, segments, signed, small_side, stored, text_runs
+from .shared import Words, components, least_within, mix, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
 SLOTS, KEYED, CHUNK = 256, 64, 4
@@ -146,15 +146,6 @@ def differing(a: Column, b: Column) -> Column:
     return total
 
 
-def least_within(links: DataFrame, steps: int) -> DataFrame:
-    """(node, root): the smallest node within ``steps`` links of a node, in one job."""
-    both = links.union(links.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    for _ in range(steps - 1):
-        least = both.join(least.toDF("v", "w"), "v").groupBy("u").agg(F.min(F.least("u", "w")).alias("m"))
-    return least.toDF("node", "root")
-
-
 class NearDuplicates:
     """The steps over one table; each result that is read twice is a written table."""
 

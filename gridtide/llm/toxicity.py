@@ -31,7 +31,7 @@ PREFIXES = (4, 6, 7)
 BUCKETS = 1 << 22
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 PAD = max(WIDTHS)
-SAMPLE, SAMPLE_CHARS = 8000, 20_000
+SAMPLE, SAMPLE_CHARS = 5000, 20_000
 SEEN_IN = 4  # buckets in fewer sample texts are not trained
 CUT = 0.3  # fixed value: the cut of ``predicted``
 LANGUAGE_POSITIVES = 15
@@ -97,11 +97,18 @@ def train(labels: np.ndarray, langs: list[str | None], data: np.ndarray, offsets
     """Fit by Adagrad on mini-batches; the epoch with the least loss on a fifth of the
     sample is kept, and thresholds are set on that fifth."""
     draw = np.random.default_rng(seed)
-    buckets, first = buckets_of(data, offsets)
     n_texts = len(labels)
-    text = np.repeat(np.arange(n_texts), np.diff(first))
-    pairs = np.unique((text[:, None] * np.int64(BUCKETS) + buckets).ravel())
-    seen = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+    parts, seen, ends = [], np.zeros(BUCKETS, dtype=np.int32), [np.zeros(1, dtype=np.int64)]
+    for lo in range(0, n_texts, 200):  # some texts at a time, for the memory of the driver
+        hi = min(lo + 200, n_texts)
+        some, begin = buckets_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        text = np.repeat(np.arange(hi - lo), np.diff(begin))
+        pairs = np.unique((text[:, None] * np.int64(BUCKETS) + some).ravel())
+        seen += np.bincount(pairs % BUCKETS, minlength=BUCKETS).astype(np.int32)
+        parts.append(some)
+        ends.append(ends[-1][-1] + begin[1:])
+    buckets, first = np.concatenate(parts), np.concatenate(ends)
+    del parts
     place = np.zeros(BUCKETS, dtype=np.int32)
     used = np.flatnonzero(seen >= SEEN_IN)
     place[used] = np.arange(1, len(used) + 1)

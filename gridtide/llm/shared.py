@@ -43,7 +43,7 @@ def stored(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     neither recomputes it nor depends on the executors that made it."""
     path = work_folder(spark, purpose)
     schema = frame.schema
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

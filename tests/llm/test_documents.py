@@ -144,6 +144,31 @@ def test_line_dedup(llm, documents):
     assert all(r["n_chars"] == len(r["text"] or "") for r in kept)
 
 
+def spelled(draw, n):
+    return ["".join(draw.choice("etaoinshrdlucm") for _ in range(draw.randrange(3, 9))) for _ in range(n)]
+
+
+def test_near_lines_by_edits_alone(llm, documents):
+    """All pairs at the edit similarity are found, however many bits of the SimHash differ."""
+    draw = random.Random(13)
+    lines = []
+    for i in range(60):
+        words = spelled(draw, draw.choice([10, 15, 25, 60]))
+        other = list(words)
+        other[draw.randrange(len(words))] = spelled(draw, 1)[0]
+        lines += [" ".join(words), " ".join(other)]
+    lines += ["ein \u00fcberall \u00f6fter gelesener Satz \u00fcber M\u00fcnchen", "ein \u00fcberall \u00f6fter gelesener Satz \u00fcber M\u00fcnchem"]
+    first = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            most = int(max(len(lines[i]), len(lines[j])) * 0.1 + 1e-9)
+            if distance(lines[i], lines[j]) <= most:
+                first = [first[j] if f == first[i] else f for f in first]
+    assert sum(f != i for i, f in enumerate(first)) >= 45
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.op2(llm, documents(list(enumerate(lines)))).collect()}
+    assert got == {i: int(f != i) for i, f in enumerate(first)}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

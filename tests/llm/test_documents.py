@@ -169,6 +169,13 @@ def test_near_lines_by_edits_alone(llm, documents):
     assert got == {i: int(f != i) for i, f in enumerate(first)}
 
 
+def test_short_lines_and_lines_without_blanks(llm, documents):
+    han = "".join(chr(0x4E00 + 37 * i % 2000) for i in range(80))
+    texts = ["Accept all cookies\nfirst own words", f"accept ALL cookies!\n{han}\n---", f"{han}\n---\nShare", f"share\n{han[:40]}\u3042{han[41:]}\nfirst other words"]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(llm, documents(list(enumerate(texts)))).collect()}
+    assert got == {0: texts[0], 1: f"{han}\n---", 2: "---\nShare", 3: "first other words"}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

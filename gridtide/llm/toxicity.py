@@ -3,12 +3,14 @@
 A word's embedding is the sum of hashed embeddings of the word and of some of its
 prefixes. Filters of several widths run over the whole text, each keeps its maximum,
 and a logistic layer gives the score. Thresholds are calibrated by language on
-labelled rows kept out of the training; language is no input of the score.
+all labelled rows that are neither held out nor fitted on; a language with fewer than
+LANGUAGE_POSITIVES toxic ones there, or none, gets the threshold of all languages
+together, and CUT if these have too few as well. Language is no input of the score.
 
 The classifier is fitted on a bounded sample: the ``sample`` labelled rows with the
 smallest hash of their id, among texts of at most SAMPLE_CHARS characters. Everything
 else covers all data: each text is scored as a whole, in the task that reads it, and
-nothing is shuffled but labelled ids.
+nothing is shuffled but labels, ids and scores.
 
 Defined cases: NULL and empty texts get the score of a text without words; an id
 without a label, or a NULL id, is only scored; repeated rows are scored alike;
@@ -21,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -31,10 +34,11 @@ PREFIXES = (4, 6, 7)
 BUCKETS = 1 << 22
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 PAD = max(WIDTHS)
-SAMPLE, SAMPLE_CHARS = 5000, 20_000
+SAMPLE, SAMPLE_CHARS = 8000, 20_000
 SEEN_IN = 4  # buckets in fewer sample texts are not trained
 CUT = 0.3  # fixed value: the cut of ``predicted``
 LANGUAGE_POSITIVES = 15
+GRID = tuple(round(0.1 + 0.05 * i, 2) for i in range(13))  # the thresholds to choose from
 
 
 @dataclass
@@ -44,7 +48,7 @@ class Model:
     weights: np.ndarray  # DIM x (sum of widths * FILTERS)
     out: np.ndarray
     bias: float
-    thresholds: dict[str, float] = field(default_factory=dict)
+    fitted: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # sample rows that weights are fitted on
 
 
 def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +82,11 @@ def _responses(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def scores(model: Model, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    rows, starts, n = _laid_out(model.place[buckets], first)
+    return _scores(model, model.place[buckets], first)
+
+
+def _scores(model: Model, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    rows, starts, n = _laid_out(rows, first)
     x = model.embeddings[rows[:, 0]]
     for k in range(1, rows.shape[1]):
         x += model.embeddings[rows[:, k]]
@@ -93,9 +101,8 @@ def _inside(responses: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndar
     return responses
 
 
-def train(labels: np.ndarray, langs: list[str | None], data: np.ndarray, offsets: np.ndarray, epochs: int = 14, seed: int = 7) -> Model:
-    """Fit by Adagrad on mini-batches; the epoch with the least loss on a fifth of the
-    sample is kept, and thresholds are set on that fifth."""
+def train(labels: np.ndarray, data: np.ndarray, offsets: np.ndarray, epochs: int = 14, seed: int = 7) -> Model:
+    """Fit by Adagrad on mini-batches; the epoch with the least loss on a fifth of the sample is kept."""
     draw = np.random.default_rng(seed)
     n_texts = len(labels)
     parts, seen, ends = [], np.zeros(BUCKETS, dtype=np.int32), [np.zeros(1, dtype=np.int64)]
@@ -107,11 +114,14 @@ def train(labels: np.ndarray, langs: list[str | None], data: np.ndarray, offsets
         seen += np.bincount(pairs % BUCKETS, minlength=BUCKETS).astype(np.int32)
         parts.append(some)
         ends.append(ends[-1][-1] + begin[1:])
-    buckets, first = np.concatenate(parts), np.concatenate(ends)
-    del parts
+    first = np.concatenate(ends)
     place = np.zeros(BUCKETS, dtype=np.int32)
     used = np.flatnonzero(seen >= SEEN_IN)
     place[used] = np.arange(1, len(used) + 1)
+    for i, some in enumerate(parts):
+        parts[i] = place[some]
+    rows_all = np.concatenate(parts)
+    del parts, some, seen
     e = (draw.standard_normal((len(used) + 1, DIM)) * 0.1).astype(np.float32)
     e[0] = 0
     columns = FILTERS * sum(WIDTHS)
@@ -122,9 +132,9 @@ def train(labels: np.ndarray, langs: list[str | None], data: np.ndarray, offsets
     ge, gw, gv, gb = (np.full_like(x, 1e-3) for x in (e, w, v, np.zeros(1)))
     order = draw.permutation(n_texts)
     held, kept = order[: n_texts // 5], order[n_texts // 5 :]
-    rows_all = place[buckets]
+    fitted = np.sort(kept)
     column_of = [sum(WIDTHS[:i]) * FILTERS for i in range(len(WIDTHS))]
-    best, best_loss, best_scores = None, np.inf, None
+    best, best_loss = None, np.inf
 
     def gathered(texts):
         lengths = (first[texts + 1] - first[texts]).astype(np.int64)
@@ -175,34 +185,31 @@ def train(labels: np.ndarray, langs: list[str | None], data: np.ndarray, offsets
             gb += db**2
             b -= float(0.05 * db / np.sqrt(gb[0]))
         kept = draw.permutation(kept)
-        model = Model(place, e.copy(), w.copy(), v.copy(), b)
-        got = np.concatenate([scores(model, *_of(buckets, first, held[i : i + 256])) for i in range(0, len(held), 256)]) if len(held) else np.zeros(0)
+        model = Model(place, e.copy(), w.copy(), v.copy(), b, fitted)
+        got = np.concatenate([_scores(model, *gathered(held[i : i + 256])) for i in range(0, len(held), 256)]) if len(held) else np.zeros(0)
         y = labels[held]
         loss = -np.mean(np.log(np.clip(np.where(y == 1, got, 1 - got), 1e-9, 1))) if len(held) else 0.0
         if loss < best_loss or best is None:
-            best, best_loss, best_scores = model, loss, got
-    best.thresholds = calibrated(best_scores, labels[held], [langs[i] for i in held])
+            best, best_loss = model, loss
     return best
 
 
-def _of(buckets, first, texts):
-    lengths = first[texts + 1] - first[texts]
-    ends = np.cumsum(lengths)
-    take = np.repeat(first[texts] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-    return buckets[take], np.concatenate([[0], ends])
+def calibrated(counts: list[tuple[str | None, int, int, int]]) -> dict[str | None, float]:
+    """Thresholds by language from (lang, toxic, thresholds reached, rows); None has that of all languages.
 
-
-def calibrated(got: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> dict[str, float]:
-    """For each language with enough positives, the threshold with the best F1; ties go to the one nearest CUT."""
-    out = {}
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
-        s, y = got[own], labels[own]
-        if y.sum() < LANGUAGE_POSITIVES:
+    The threshold with the best F1 is taken, in a tie the one nearest CUT.
+    """
+    tables: dict[str | None, np.ndarray] = {None: np.zeros((2, len(GRID) + 1), dtype=np.int64)}
+    for lang, toxic, reached, n in counts:
+        for key in {lang, None}:
+            tables.setdefault(key, np.zeros((2, len(GRID) + 1), dtype=np.int64))[toxic, reached] += n
+    out = {None: CUT}
+    for key in sorted(tables, key=lambda k: (k is not None, k or "")):
+        over = tables[key][:, ::-1].cumsum(axis=1)[:, ::-1]  # rows that reach so many thresholds or more
+        if over[1, 0] < LANGUAGE_POSITIVES:
             continue
-        grid = np.round(np.arange(0.1, 0.71, 0.05), 2)
-        f1 = [2 * (y[s >= t]).sum() / max(1, (s >= t).sum() + y.sum()) for t in grid]
-        out[lang] = float(min((t for t, f in zip(grid, f1) if f >= max(f1) - 1e-12), key=lambda t: abs(t - CUT)))
+        f1 = [2 * over[1, k] / (over[:, k].sum() + over[1, 0]) for k in range(1, len(GRID) + 1)]
+        out[key] = min((t for t, f in zip(GRID, f1) if f >= max(f1) - 1e-12), key=lambda t: abs(t - CUT))
     return out
 
 
@@ -210,10 +217,15 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model from the labelled rows that are not held out; None without any."""
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled ids that are not held out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where(~held_out()).withColumn("_order", F.xxhash64("doc_id"))
+    return known.where(~held_out())
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, pa.Array] | None:
+    """The model from the labelled rows that are not held out, and the ids it is fitted on; None without any."""
+    known = known_labels(labels).withColumn("_order", F.xxhash64("doc_id"))
     # Twice the sample, as long texts are left out of it; both are fixed numbers of rows.
     chosen = known.orderBy("_order", "doc_id").limit(2 * sample).withColumnRenamed("doc_id", "_id")
     rows = (
@@ -222,14 +234,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
         .join(small_side(chosen, 2 * sample), F.col("doc_id") == F.col("_id"))
         .orderBy("_order", "doc_id", F.xxhash64("text"))
         .limit(sample)
-        .select("toxic", "lang", F.coalesce("text", F.lit("")).alias("text"))
+        .select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
         .toArrow()
     )
     if not rows.num_rows:
         return None
     _, _, data, offsets = next(iter(text_runs(rows.column("text"), most=1 << 62)))
     y = (rows.column("toxic").to_numpy() > 0).astype(np.float64)
-    return train(y, rows.column("lang").to_pylist(), data, offsets)
+    model = train(y, data, offsets)
+    return model, rows.column("doc_id").combine_chunks().take(pa.array(model.fitted))
 
 
 def _score(shared):
@@ -245,15 +258,38 @@ def _score(shared):
     return run
 
 
+def _without(fitted):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), value_set=fitted.value)))
+
+    return run
+
+
+def reached(spark: SparkSession, docs: DataFrame, labels: DataFrame, shared, fitted: pa.Array) -> DataFrame:
+    """(lang, toxic, reached, n): rows by how many thresholds of GRID they reach, over all labelled
+    rows that are neither held out nor fitted on. Texts stay in the task that reads them."""
+    own = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & ~held_out())
+    own = own.mapInArrow(_without(spark.sparkContext.broadcast(fitted)), own.schema)
+    got = own.mapInArrow(_score(shared), StructType([*own.schema.fields, StructField("_score", DoubleType())]))
+    steps = sum(((F.col("_score") >= t).cast("int") for t in GRID), F.lit(0))
+    known = known_labels(labels).select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    met = got.select("doc_id", "lang", steps.alias("reached")).join(small_side(known), F.col("doc_id") == F.col("_id"))
+    return met.groupBy("lang", "toxic", "reached").agg(F.count("*").alias("n"))
+
+
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with _score, and _threshold by their language."""
-    model = fit(docs, labels)
-    if model is None:
+    found = fit(docs, labels)
+    if found is None:
         return docs.withColumn("_score", F.lit(0.0)).withColumn("_threshold", F.lit(CUT))
+    model, fitted = found
+    shared = spark.sparkContext.broadcast(model)
+    thresholds = calibrated([tuple(r) for r in reached(spark, docs, labels, shared, fitted).collect()])
     schema = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
-    out = docs.mapInArrow(_score(spark.sparkContext.broadcast(model)), schema)
-    threshold = F.lit(CUT)
-    for lang, cut in model.thresholds.items():
+    out = docs.mapInArrow(_score(shared), schema)
+    threshold = F.lit(thresholds.pop(None))
+    for lang, cut in thresholds.items():
         threshold = F.when(F.col("lang") == lang, F.lit(cut)).otherwise(threshold)
     return out.withColumn("_threshold", threshold)
 

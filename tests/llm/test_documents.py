@@ -251,6 +251,31 @@ def test_toxicity_held_out(llm, documents):
     assert len(clean ^ {d for d, *_ in rows if d % 5}) <= 20
 
 
+def test_thresholds_cover_all_labelled_rows(llm, documents):
+    draw = random.Random(14)
+    rows, labels = [], []
+    for i in range(900):
+        words = prose(draw, draw.randrange(20, 60), 3000).split(" ")
+        if i % 5 == 0:
+            words[3] = draw.choice(["nasty", "vile"])
+        rows.append((i, " ".join(words), "fr" if i % 50 == 0 else "en", "s"))
+        labels.append((i, 1, int(i % 5 == 0)))
+    docs, table = documents(rows), llm.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model, fitted = toxicity.fit(docs, table, sample=250)
+    counts = toxicity.reached(llm, docs, table, llm.sparkContext.broadcast(model), fitted).collect()
+    free = {d for d, *_ in rows if zlib.crc32(str(d).encode()) % 4 != 2} - set(fitted.to_pylist())
+    assert len(fitted) == 200 and sum(r["n"] for r in counts) == len(free) > 400
+    assert sum(r["n"] for r in counts if r["toxic"]) == sum(d % 5 == 0 for d in free)
+
+
+def test_thresholds_pool_languages():
+    """A language with few toxic rows gets the threshold of all languages, not a fixed one."""
+    counts = [("en", 1, 9, 40), ("en", 0, 7, 60), ("en", 0, 0, 500), ("fr", 1, 9, 5), ("fr", 0, 6, 9), (None, 0, 0, 3)]
+    got = toxicity.calibrated(counts)
+    assert set(got) == {None, "en"} and got[None] == got["en"] == 0.45
+    assert toxicity.calibrated(counts[3:]) == {None: toxicity.CUT}
+
+
 TEXTS = ["", None, "It's they'll 12 345 ...!", "tabs\t\tand  blanks \n\n here   x", "naïve Ünïcödé 🙂🙂 日本語", "a" * 3000, " " * 300 + "x", "<|endoftext|> <|ENDOFTEXT|> \x01 y"]
 
 

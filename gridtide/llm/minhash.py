@@ -78,7 +78,7 @@ def _node(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
     return segments(mix(sets ^ _XOR[0]), first, np.add) + mix(np.diff(first).astype(np.uint64))
 
 
-SKETCH = "doc_id long, n_shingles long, node long, sketch array<long>, keys array<long>"
+SKETCH = "row long, doc_id long, n_shingles long, node long, sketch array<long>, keys array<long>"
 
 
 def _sketches(batches):
@@ -102,16 +102,17 @@ def _sketches(batches):
                     a, b, d = (slots[:, c * CHUNK + i] for i in kept)
                     keys[:, k] = mix(a * _ODD[0] + b * _ODD[1] + d * _ODD[2] + _XOR[k])
             full = n > 0
-            ids = batch.column("doc_id").slice(lo, hi - lo)
+            row, ids = (batch.column(c).slice(lo, hi - lo) for c in ("row", "doc_id"))
             yield pa.RecordBatch.from_arrays(
                 [
+                    row,
                     ids,
                     pa.array(n, pa.int64()),
                     pa.array(signed(node), mask=~full),
                     _lists(bits, full),
                     _lists(signed(keys.ravel()).reshape(-1, KEYED), full),
                 ],
-                names=["doc_id", "n_shingles", "node", "sketch", "keys"],
+                names=["row", "doc_id", "n_shingles", "node", "sketch", "keys"],
             )
 
 
@@ -120,8 +121,13 @@ def _lists(rows: np.ndarray, full: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows[full]).ravel(), pa.int64()))
 
 
+def row_key() -> Column:
+    """Tells rows apart by id and text; a NULL id is an id like others."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches, SKETCH)
+    return docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches, SKETCH)
 
 
 def _full_sets(batches):
@@ -222,7 +228,7 @@ class NearDuplicates:
         return both.where(whole * common >= part * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
     def labels(self) -> DataFrame:
-        """(node, component): the smallest doc_id of all classes linked with a class."""
+        """(node, root, component): the group of linked classes, and the smallest doc_id in it."""
         members = stored(self.spark, self.buckets(), "members")
         links = stored(self.spark, self.confirmed(self.pivot_pairs(members)), "links")
         # A few steps reach all members around shared pivots; what they miss only stays open.
@@ -231,12 +237,12 @@ class NearDuplicates:
         roots = components(self.spark, near.toDF("a", "b").union(links).union(more))
         named = self.classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component"))
-        return named.join(smallest, "root").select("node", "component")
+        return named.join(smallest, "root").select("node", "root", "component")
 
     def result(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept for each document."""
         own = self.rows.select("doc_id", "n_shingles", "node")
-        named = own.join(self.labels(), "node", "left")
+        named = own.join(self.labels().drop("root"), "node", "left")
         component = F.coalesce("component", "doc_id")
         return named.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -246,10 +252,20 @@ def op3(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents without all but the first of each component; rows that repeat an id stay."""
-    drop = op3(spark, docs).where("NOT kept").select(F.col("doc_id").alias("_dropped"))
-    drop = stored(spark, drop, "dropped")
-    return docs.join(small_side(drop), docs["doc_id"] == F.col("_dropped"), "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the smallest doc_id's (NULL last), whatever ids its
+    rows share with others. Rows without words all stay."""
+    found = NearDuplicates(spark, docs)
+    rows = stored(spark, found.rows.where("node IS NOT NULL").join(found.labels(), "node").select("row", "doc_id", "root"), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    groups = rows.groupBy("root").agg(F.min(place)["row"].alias("keep"), F.count("*").alias("n")).where("n > 1")
+    drop = stored(spark, rows.join(groups, "root").where("row <> keep").select(F.col("row").alias("_row")).distinct(), "dropped")
+    copies = stored(spark, rows.groupBy(F.col("row").alias("_row")).agg(F.count("*").alias("n")).where("n > 1").select("_row"), "copies")
+    left = docs.withColumn("_row", row_key()).join(small_side(drop), "_row", "left_anti")
+    copies = small_side(copies)
+    once = left.join(copies, "_row", "left_anti").select(*docs.columns)
+    # Of rows that repeat id and text, the one that is first by all columns.
+    one = left.join(copies, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("one"))
+    return once.unionByName(one.select("one.*"))
 
 
 SQL = """

@@ -216,6 +216,15 @@ def test_minhash_components(llm, documents):
     assert left == {d for d in sets if root[d] == d}
 
 
+def test_near_copies_are_dropped_by_row(llm, documents):
+    """Rows that share an id are judged by their own texts, and one row of a group stays."""
+    draw = random.Random(15)
+    a, b, c, d = (prose(draw, 80, 5000) for _ in range(4))
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (None, c + " end"), (None, d), (None, d), (4, ""), (4, "")]
+    got = [(r["doc_id"], r["text"]) for r in minhash.deduplicated(llm, documents(rows)).collect()]
+    assert Counter(got) == Counter([(1, a), (2, b), (3, c), (None, d), (4, ""), (4, "")])
+
+
 def test_pigeonhole_guarantee():
     """Signatures of keyed slots that differ in at most 31 slots share a key."""
     draw = np.random.default_rng(0)

@@ -103,7 +103,7 @@ def test_estimated_quality(llm, documents):
 
 
 def lines_left(rows):
-    """Brute force of the line dedup: all pairs."""
+    """Brute force of the line dedup: edit similarity of all pairs."""
     def normal(line):
         folded = bytes(line_dedup.FOLDED[list(line.encode())]) if line else b""
         return " ".join(x.decode() for x in re.split(rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", folded) if x)
@@ -114,15 +114,10 @@ def lines_left(rows):
             if len(normal(line).split()) >= line_dedup.MIN_WORDS:
                 places[normal(line)].append((doc_id, i))
     names = list(places)
-    sims = []
-    for n in names:
-        data = np.frombuffer(n.encode(), np.uint8)
-        h = shared.Words(data, np.array([0, len(data)]), folded=line_dedup.FOLDED, blank=line_dedup.BREAKS).hashes
-        sims.append(int(line_dedup.simhash(h, np.array([0, len(h)]))[0]))
     group = list(range(len(names)))
     for i in range(len(names)):
         for j in range(i):
-            if (sims[i] ^ sims[j]).bit_count() <= 3 and line_dedup.similar_lines(names[i], names[j]):
+            if line_dedup.similar_lines(names[i], names[j]):
                 group = [group[j] if g == group[i] else g for g in group]
     gone = set()
     for g in set(group):

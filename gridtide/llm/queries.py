@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, lm, minhash, mixing, quality_rules, repair, toxicity, url_filter, vptree
+from . import (
+    bpe,
+    exact_dedup,
+    line_dedup,
+    lm,
+    merkle,
+    minhash,
+    mixing,
+    quality_rules,
+    repair,
+    repair_turns,
+    toxicity,
+    url_filter,
+    vptree,
+)
 from .shared import ready, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +41,9 @@ QUERIES: dict[str, Run] = {
     "op8_lm_scoring": _over("documents", lm.op8),
     "op9_mixing": _over("documents", mixing.op9),
     "op10_repair_shards": _over("documents", repair.op10),
+    "op11_merkle_manifest": _over("documents", merkle.op11),
+    "op12_exact_dedup": _over("documents", exact_dedup.op12),
+    "op13_conversation_repair": _over("conversations", repair_turns.op13),
 }
 
 SQL: dict[str, str] = {
@@ -34,4 +51,7 @@ SQL: dict[str, str] = {
     "op4_vp_trees": vptree.SQL,
     "op5_url_filters": url_filter.SQL,
     "op9_mixing": mixing.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_exact_dedup": exact_dedup.SQL,
+    "op13_conversation_repair": repair_turns.SQL,
 }

@@ -8,7 +8,21 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
-from gridtide.llm import bpe, line_dedup, lm, minhash, mixing, quality_rules, queries, repair, toxicity, url_filter, vptree  # noqa: E402
+from gridtide.llm import (  # noqa: E402
+    bpe,
+    exact_dedup,
+    line_dedup,
+    lm,
+    merkle,
+    minhash,
+    mixing,
+    quality_rules,
+    queries,
+    repair,
+    toxicity,
+    url_filter,
+    vptree,
+)
 from oracle import connect, differences  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,7 +30,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 
@@ -29,7 +43,7 @@ def test_query_equals_sql(llm, name):
 
 @pytest.mark.parametrize(
     "run",
-    [quality_rules.op1, line_dedup.op2, minhash.op3, bpe.op7, lm.op8, mixing.op9, repair.op10],
+    [quality_rules.op1, line_dedup.op2, minhash.op3, bpe.op7, lm.op8, mixing.op9, repair.op10, merkle.op11, exact_dedup.op12],
     ids=lambda f: f.__module__.rsplit(".", 1)[-1],
 )
 def test_odd_documents(llm, odd, run):

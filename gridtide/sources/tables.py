@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,45 @@ def folder_entries(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(where)]
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver without a job."""
+    files, where = _located(spark, path)
+    stream = files.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content, unless it is there: then False.
+
+    The draft gets its name in one step that fails where the name is taken: a
+    link on a local disk, a rename elsewhere (HDFS and stores with real folders). A store
+    that copies on rename has no such step; there only one writer may run.
+    """
+    files, where = _located(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(where.getParent().getParent(), f".draft-{uuid.uuid4().hex}")
+    files.mkdirs(where.getParent())
+    stream = files.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if files.makeQualified(where).toUri().getScheme() != "file":
+            return bool(not files.exists(where) and files.rename(draft, where))
+        paths = spark._jvm.java.nio.file.Paths
+        ends = [paths.get(files.makeQualified(p).toUri().getPath(), spark._sc._gateway.new_array(spark._jvm.String, 0)) for p in (where, draft)]
+        try:
+            spark._jvm.java.nio.file.Files.createLink(*ends)
+        except Exception:
+            if files.exists(where):
+                return False
+            raise
+        return True
+    finally:
+        files.delete(draft, False)
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows; Catalyst sees that and drops the branch from a plan."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import join_path
+from ..sources.tables import read_text
 
 
 def _triggered(frame: DataFrame, checkpoint: str, name: str) -> DataStreamWriter:
@@ -51,4 +53,4 @@ def finish(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the stream that owns a checkpoint; it outlives restarts."""
-    return spark.read.schema("id string").json(join_path(checkpoint, "metadata")).first().id
+    return json.loads(read_text(spark, join_path(checkpoint, "metadata")))["id"]

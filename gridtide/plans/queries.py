@@ -4,8 +4,6 @@ same rows."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +29,7 @@ from ..streaming.gold import (
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
 from ..streaming.upsert import run_upsert
+from . import change_queries  # noqa: F401  registers its queries
 from .pipeline import ensure_control, gold_tables, land, marks_of, run_pipeline
 from .feeds import (
     EVENT_DATASETS,
@@ -40,31 +39,8 @@ from .feeds import (
     event_feed,
     order_feed,
     table,
-    without_zone,
 )
-
-Run = Callable[[SparkSession, str], DataFrame]
-
-
-@dataclass(frozen=True)
-class Query:
-    run: Run
-    sql: str | None
-
-
-CATALOG: dict[str, Query] = {}
-
-
-def query(sql: str | None) -> Callable[[Run], Run]:
-    def register(run: Run) -> Run:
-        def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return without_zone(run(pin(spark), sf_dir))
-
-        CATALOG[run.__name__] = Query(pinned, sql)
-        return run
-
-    return register
-
+from .registry import CATALOG, query, sql_latest  # noqa: F401
 
 # --- pieces of SQL ---------------------------------------------------------------
 
@@ -118,15 +94,6 @@ SQL_CONSUMPTION_FACT = f"""
     FROM ({SQL_CONSUMPTION})"""
 
 
-def sql_latest(rows: str, keys: tuple[str, ...], sequence: str, ties: str) -> str:
-    named = ", ".join(f'"{key}"' for key in keys)
-    order = ", ".join(f'"{c}" DESC NULLS LAST' for c in [sequence, *ties.split()])
-    return f"""
-    SELECT * EXCLUDE (rank_) FROM (
-        SELECT *, row_number() OVER (PARTITION BY {named} ORDER BY {order}) AS rank_
-        FROM ({rows})) WHERE rank_ = 1"""
-
-
 SQL_FACT_GENERATION = sql_latest(
     sql_generation_fact(SQL_FLOORED_TIME_ID),
     GENERATION_KEYS,

@@ -170,7 +170,11 @@ class SlicedTable:
         )
         names = folder_entries(spark, target)
         written = [int(n[len("slice=") :]) for n in names if n.startswith("slice=")]
+        touched = None if touched is None else {*touched}
         mine = None if touched is None else {*touched, *written}
+        stray = [s for s in written if touched is not None and s in base.slices and s not in touched]
+        if stray:
+            raise ValueError(f"{self.path}: rows for slices {stray}, whose former rows were not read")
         at = base
         while True:
             version = at.version + 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Dataset, Layout
@@ -63,6 +64,14 @@ DIMENSIONS = {
 }
 
 
+def month_reach(readings: DataFrame) -> DataFrame:
+    """Slices of readings by ``month_slices``, from their start alone: what ``date_id`` of the calendar comes to."""
+    day = F.col("start_time").cast("date")
+    inside = day.between(F.lit(dims.CALENDAR_START), F.lit(dims.CALENDAR_END))
+    month = (F.year(day) * 100 + F.month(day)).cast("bigint")
+    return readings.select(F.when(inside, month).otherwise(F.lit(0)).alias("slice"))
+
+
 def store_dimensions(spark: SparkSession, layout: Layout) -> None:
     """Write the generated dimensions that are not there yet."""
     for name, build in DIMENSIONS.items():
@@ -89,10 +98,12 @@ def run_fact_generation(
     name = "fact_generation_forecast"
     return run_upsert(
         fact_generation_table(layout.gold(name)),
-        generation_fact_rows(union_readings(*readings), dates, times, now),
+        union_readings(*readings),
         GENERATION_KEYS,
         layout.checkpoint("gold", name),
         name,
+        shape=lambda batch: generation_fact_rows(batch, dates, times, now),
+        reach=month_reach,
     )
 
 
@@ -108,10 +119,12 @@ def run_fact_consumption(
     name = "fact_consumption"
     return run_upsert(
         fact_consumption_table(layout.gold(name)),
-        consumption_fact_rows(readings, dates, times, now),
+        readings,
         CONSUMPTION_KEYS,
         layout.checkpoint("gold", name),
         name,
+        shape=lambda batch: consumption_fact_rows(batch, dates, times, now),
+        reach=month_reach,
     )
 
 

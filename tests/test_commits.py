@@ -1,0 +1,160 @@
+"""Writers of one table side by side: one succeeds at a time, and no update is lost."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtide.schemas import LONG, TEXT, table_of
+from gridtide.sources import sliced
+from gridtide.sources.sliced import BaseChanged, SlicedTable, month_slices
+from gridtide.sources.tables import create_once, folder_entries, read_text
+from gridtide.streaming.gold import fact_generation_table, month_reach
+from gridtide.streaming.upsert import upsert
+
+SCHEMA = table_of(day=LONG, k=TEXT, seq=LONG)
+KEYS = ("day", "k")
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    table = SlicedTable(str(tmp_path / "t"), SCHEMA, month_slices("day"), KEYS)
+    table.create(spark)
+    return table
+
+
+def change(spark, day, k, seq):
+    return spark.createDataFrame([(day, k, seq)], SCHEMA)
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "d" / "f.json")
+    assert create_once(spark, path, "é 1")
+    assert not create_once(spark, path, "2")
+    assert read_text(spark, path) == "é 1"
+    assert [n for n in folder_entries(spark, str(tmp_path)) if n.startswith(".draft")] == []
+    made = []
+    threads = [threading.Thread(target=lambda i=i: made.append(create_once(spark, str(tmp_path / "d" / "g"), str(i)))) for i in range(8)]
+    [t.start() for t in threads], [t.join() for t in threads]
+    assert sorted(made) == [False] * 7 + [True]
+
+
+def interrupt(monkeypatch, meanwhile):
+    """Another writer's merge just before the first commit that follows."""
+    commit, waiting = SlicedTable._commit, [meanwhile]
+
+    def late(table, session, snapshot):
+        if waiting:
+            waiting.pop()()
+        return commit(table, session, snapshot)
+
+    monkeypatch.setattr(SlicedTable, "_commit", late)
+
+
+def test_same_slice_is_merged_anew(spark, rows, target, monkeypatch):
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+    interrupt(monkeypatch, lambda: upsert(target, change(spark, 20250102, "b", 5), KEYS, "seq", "two", 0))
+    upsert(target, change(spark, 20250101, "a", 3), KEYS, "seq", "one", 1)
+    assert rows(target.read(spark)) == [(20250101, "a", 3), (20250102, "b", 5)]
+    now = target.snapshot(spark)
+    assert (now.version, now.writers) == (3, {"one": 1, "two": 0})
+    # nothing of the first attempt is left, and the other writer's batch is still known
+    assert len(folder_entries(spark, target._data)) == 3
+    upsert(target, change(spark, 20250102, "b", 9), KEYS, "seq", "two", 0)
+    assert target.snapshot(spark).version == 3
+
+
+def test_other_slices_are_not_merged_anew(spark, rows, target, monkeypatch):
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+    upsert(target, change(spark, 20250201, "a", 1), KEYS, "seq", "one", 1)
+    reads = []
+    read = SlicedTable.read
+    monkeypatch.setattr(SlicedTable, "read", lambda table, session, at=None, slices=None: reads.append(slices) or read(table, session, at, slices))
+    interrupt(monkeypatch, lambda: upsert(target, change(spark, 20250201, "a", 7), KEYS, "seq", "two", 0))
+    upsert(target, change(spark, 20250101, "a", 4), KEYS, "seq", "one", 2)
+    assert reads == [[202501], [202502]]
+    monkeypatch.undo()
+    assert rows(target.read(spark)) == [(20250101, "a", 4), (20250201, "a", 7)]
+
+
+def test_replaced_meanwhile(spark, target, monkeypatch):
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+    interrupt(monkeypatch, lambda: upsert(target, change(spark, 20250301, "c", 1), KEYS, "seq", "two", 0))
+    with pytest.raises(BaseChanged):
+        target.replace(spark, target.read(spark).withColumn("seq", F.col("seq") + 1))
+    assert target.read(spark).count() == 2
+
+
+def test_writers_in_parallel(spark, rows, target):
+    """Four writers, all in the same two slices."""
+    errors = []
+
+    def write(name):
+        try:
+            for batch in range(3):
+                both = change(spark, 20250101, name, batch).union(change(spark, 20250201, name, batch))
+                upsert(target, both, KEYS, "seq", name, batch)
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=write, args=(name,)) for name in "abcd"]
+    [t.start() for t in threads], [t.join() for t in threads]
+    assert errors == []
+    assert rows(target.read(spark)) == sorted(((day, k, 2) for day in (20250101, 20250201) for k in "abcd"), key=repr)
+    assert target.snapshot(spark).version == 12
+
+
+def test_killed_writer_leaves_nothing_visible(spark, rows, target, monkeypatch):
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sliced, "create_once", lost)
+        with pytest.raises(RuntimeError):
+            upsert(target, change(spark, 20250101, "a", 2), KEYS, "seq", "one", 1)
+    assert rows(target.read(spark)) == [(20250101, "a", 1)]
+    for i in range(2, 6):
+        upsert(target, change(spark, 20250101, "a", i), KEYS, "seq", "one", i)
+    assert len(folder_entries(spark, target._data)) == 6
+    target.prune(spark, keep=1)
+    assert len(folder_entries(spark, target._data)) == 1  # what the lost writer left went as well
+    assert rows(target.read(spark)) == [(20250101, "a", 5)]
+
+
+def test_slices_told_wrong_are_an_error(spark, rows, target):
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+    wrong = spark.range(1).select(F.lit(202507).alias("slice"))
+    with pytest.raises(ValueError):
+        upsert(target, change(spark, 20250101, "b", 1), KEYS, "seq", "one", 1, wrong)
+    assert rows(target.read(spark)) == [(20250101, "a", 1)]
+
+
+def executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_few_jobs_per_batch(spark, target):
+    """The merge itself and one narrow pass for its slices; versions take no job."""
+    upsert(target, change(spark, 20250101, "a", 1), KEYS, "seq", "one", 0)
+    batch = change(spark, 20250101, "a", 2)
+    before = executions(spark)
+    upsert(target, batch, KEYS, "seq", "one", 1)
+    assert executions(spark) - before == 2
+    before = executions(spark)
+    upsert(target, batch, KEYS, "seq", "one", 1)
+    target.snapshot(spark), target.prune(spark), target.create(spark)
+    assert executions(spark) == before
+
+
+def test_months_without_lookups(spark, tmp_path):
+    times = ["2025-01-31 23:59:59", "2025-02-01 00:00:00", "2019-12-31 00:00:00", "2050-12-31 12:00:00", "2051-01-01 00:00:00", None]
+    readings = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("start_time"))
+    reach = month_reach(readings)
+    assert [r.slice for r in reach.collect()] == [202501, 202502, 0, 205012, 0, 0]
+    assert "Join" not in reach._jdf.queryExecution().executedPlan().toString()
+    keyed = readings.withColumn("start_date_id", F.date_format("start_time", "yyyyMMdd").cast("bigint"))
+    inside = keyed.where("start_time BETWEEN '2020-01-01' AND '2050-12-31 23:59:59'")
+    told = inside.select(fact_generation_table(str(tmp_path)).slicing().alias("slice"))
+    assert sorted(told.collect()) == sorted(month_reach(inside).collect())

@@ -7,6 +7,8 @@ reproducible.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,8 +52,11 @@ def _reading_fields(start: Column, value: Column, attributes: Column) -> list[Co
     ]
 
 
-def event_feed(spark: SparkSession, sf_dir: str, event_type: str | None = None) -> DataFrame:
-    """Events as readings with JSON attributes; the customer type is the k of props."""
+def event_feed(
+    spark: SparkSession, sf_dir: str, event_type: str | None = None, more: Sequence[str] = ()
+) -> DataFrame:
+    """Events as readings with JSON attributes; the customer type is the k of props. ``more``
+    are columns of events that come along as fields which no layer names."""
     events = table(spark, sf_dir, "events")
     if event_type is not None:
         events = events.where(F.col("event_type") == event_type)
@@ -72,6 +77,7 @@ def event_feed(spark: SparkSession, sf_dir: str, event_type: str | None = None)
         id_.alias("source_dataset_id"),
         id_.cast("string").alias("datasetId"),
         *_reading_fields(start, F.col("value"), attributes),
+        *more,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Layout
@@ -14,7 +14,7 @@ from ..functions.units import distance_km
 from ..operators import control, dims, explore, lookups, quality, silver, windows
 from ..operators.bronze import with_origin
 from ..operators.upsert import CONSUMPTION_KEYS, CUSTOMER_TYPE_KEYS, GENERATION_KEYS, latest_per_key
-from ..schemas import BRONZE, CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
+from ..schemas import BRONZE, CONTROL, RESCUED_COLUMN, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import join_path, pin, work_folder
 from ..sources.landing import read_landing
 from ..sources.tables import empty_table, ensure_folder, read_table, stream_table, write_static
@@ -180,14 +180,14 @@ def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.active_datasets(_control(spark, sf_dir), "dev")
 
 
-def _land_events(spark: SparkSession, sf_dir: str) -> Layout:
+def _land_events(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> Layout:
     """Land all events by way of a stored control table in which all datasets
     are active. Being stored, its size is known and it can be broadcast."""
     layout = Layout(work_folder(spark, "layers"))
     seed = event_control(spark, sf_dir).drop("is_active")
     stored = ensure_control(spark, layout, seed).read(spark)
     active = control.active_datasets(stored, layout.environment)
-    records = event_feed(spark, sf_dir).drop("ingestion_timestamp")
+    records = event_feed(spark, sf_dir, more=more).drop("ingestion_timestamp")
     land(active, lambda planned: records, layout, end_of_events(spark, sf_dir))
     return layout
 
@@ -207,7 +207,7 @@ SQL_LANDED = f"""
           FROM events e JOIN ({SQL_CONTROL}) c ON c.source_dataset_name = e.event_type)"""
 
 
-def _landed_columns(landed: DataFrame) -> DataFrame:
+def _landed_columns(landed: DataFrame, *more: Column) -> DataFrame:
     """Fields, and the dataset and window that the file lies under."""
     return landed.select(
         "datasetId",
@@ -217,6 +217,7 @@ def _landed_columns(landed: DataFrame) -> DataFrame:
         F.get_json_object("additionalJson", "$.CustomerType").alias("k"),
         F.regexp_extract("source_file", "dataset=([^/]+)", 1).alias("dataset"),
         F.regexp_extract("source_file", "batch=([^/]+)", 1).alias("batch"),
+        *more,
     )
 
 
@@ -227,6 +228,25 @@ def bronze_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_columns(with_origin(read_landing(spark, layout.landing)))
 
 
+# Fields of the source that no layer names: kept as one JSON object of texts.
+UNNAMED = ("event_id", "user_id")
+SQL_ALL_FIELDS = f"""
+    SELECT CAST({SQL_DATASET_ID} AS VARCHAR) AS "datasetId", ts AS start_time, value, {SQL_K} AS k,
+           CAST(json_object('event_id', CAST(event_id AS VARCHAR), 'user_id', CAST(user_id AS VARCHAR)) AS VARCHAR) AS rest
+    FROM events"""
+
+
+def _all_fields(landed: DataFrame) -> DataFrame:
+    return _landed_columns(landed, F.col(RESCUED_COLUMN).alias("rest")).drop("end_time", "dataset", "batch")
+
+
+@query(SQL_ALL_FIELDS)
+def bronze_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole records into bronze: what nobody names is kept as well."""
+    layout = _land_events(spark, sf_dir, UNNAMED)
+    return _all_fields(with_origin(read_landing(spark, layout.landing)))
+
+
 def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of which some lack their start and some their end."""
     feed = event_feed(spark, sf_dir)
@@ -595,8 +615,8 @@ def unit_convert_km(spark: SparkSession, sf_dir: str) -> DataFrame:
 # table they wrote.
 
 
-def _bronze_run(spark: SparkSession, sf_dir: str) -> Layout:
-    layout = _land_events(spark, sf_dir)
+def _bronze_run(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> Layout:
+    layout = _land_events(spark, sf_dir, more)
     finish(run_bronze(spark, layout, dataset) for dataset in EVENT_DATASETS)
     return layout
 
@@ -608,6 +628,13 @@ def stream_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_columns(lookups.union_readings(*tables))
 
 
+@query(SQL_ALL_FIELDS)
+def stream_bronze_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _bronze_run(spark, sf_dir, UNNAMED)
+    tables = [read_table(spark, layout.bronze(d), BRONZE) for d in EVENT_DATASETS]
+    return _all_fields(lookups.union_readings(*tables))
+
+
 @query(SQL_DISPATCH)
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _bronze_run(spark, sf_dir)

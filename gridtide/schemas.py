@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt"
+RESCUED_COLUMN = "_rescued"
 
 
 def table_of(**columns: T.DataType) -> T.StructType:
@@ -26,7 +27,7 @@ LANDING = table_of(
 BRONZE = T.StructType(
     LANDING.fields
     + table_of(
-        **{CORRUPT_COLUMN: TEXT},
+        **{CORRUPT_COLUMN: TEXT, RESCUED_COLUMN: TEXT},
         source_file=TEXT,
         ingestion_timestamp=MOMENT,
     ).fields

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.typing import as_column, compact_text
 from ..operators.windows import batch_name
-from ..schemas import CORRUPT_COLUMN, LANDING, TEXT
+from ..schemas import CORRUPT_COLUMN, LANDING, RESCUED_COLUMN, TEXT
 from .tables import ANY_AGE, path_exists
 
 
@@ -79,7 +79,7 @@ def write_landing(records: DataFrame, root: str, gathered: bool = False) -> None
 
 def landing_schema(extra_fields: Sequence[str] = ()) -> T.StructType:
     added = [T.StructField(f, TEXT) for f in extra_fields if f not in LANDING.fieldNames()]
-    return T.StructType([*LANDING.fields, *added, T.StructField(CORRUPT_COLUMN, TEXT)])
+    return T.StructType([*LANDING.fields, *added, T.StructField(CORRUPT_COLUMN, TEXT), T.StructField(RESCUED_COLUMN, TEXT)])
 
 
 def infer_extra_fields(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[str, ...]:
@@ -95,12 +95,30 @@ def infer_extra_fields(spark: SparkSession, path: str, multi_line: bool = False)
     return tuple(name for name in found.columns if name not in usual)
 
 
-def _options(multi_line: bool) -> dict[str, str]:
-    return {
-        "multiLine": str(multi_line).lower(),
-        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-        "recursiveFileLookup": "true",
-    }
+EVERY_FOLDER = {"recursiveFileLookup": "true"}
+
+
+def _records(texts: DataFrame, extra_fields: Sequence[str]) -> DataFrame:
+    """Records of JSON texts, each an object or an array of them, in one parse.
+
+    Every field is text, a nested one its JSON. The named fields are columns; all others of a record
+    are kept as one JSON object in the rescued column, so that a source may add fields at any
+    time. A text that is no JSON is one row, kept whole.
+    """
+    schema = landing_schema(extra_fields)
+    named = [name for name in schema.fieldNames() if name not in (CORRUPT_COLUMN, RESCUED_COLUMN)]
+    value = F.col("value")
+    whole = F.when(F.ltrim(value).startswith("["), value).otherwise(F.concat(F.lit("["), value, F.lit("]")))
+    parsed = F.from_json(whole, "array<map<string,string>>")
+    bad = parsed.isNull() | F.exists(parsed, lambda record: record.isNull())
+    one = F.explode(F.when(bad, F.array(F.lit(None).cast("map<string,string>"))).otherwise(parsed))
+    rows = texts.where(F.trim(value, F.lit(" \t\r\n")) != "").select(value, one.alias("record"))
+    rest = F.map_filter("record", lambda name, _: ~name.isin(named))
+    return rows.select(
+        *[F.try_element_at("record", F.lit(name)).alias(name) for name in named],
+        F.when(F.col("record").isNull(), F.col("value")).alias(CORRUPT_COLUMN),
+        F.when(F.size(rest) > 0, F.to_json(rest)).alias(RESCUED_COLUMN),
+    )
 
 
 def read_landing(
@@ -110,7 +128,7 @@ def read_landing(
     extra_fields: Sequence[str] = (),
 ) -> DataFrame:
     """All files below a folder as a batch frame."""
-    return spark.read.schema(landing_schema(extra_fields)).options(**_options(multi_line)).json(path)
+    return _records(spark.read.options(**EVERY_FOLDER).text(path, wholetext=multi_line), extra_fields)
 
 
 def stream_landing(
@@ -122,8 +140,5 @@ def stream_landing(
 ) -> DataFrame:
     """Files not seen by this stream before; ``limits`` are options of the file
     source such as maxFilesPerTrigger, maxBytesPerTrigger or cleanSource."""
-    return (
-        spark.readStream.schema(landing_schema(extra_fields))
-        .options(**{**ANY_AGE, **_options(multi_line), **limits})
-        .json(path)
-    )
+    reader = spark.readStream.options(**{**ANY_AGE, **EVERY_FOLDER, **limits})
+    return _records(reader.text(path, wholetext=multi_line), extra_fields)

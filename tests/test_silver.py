@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridtide.config import Dataset
@@ -91,3 +92,37 @@ def test_expectations(spark, rows):
         ("Rule1", 3, 2), ("Rule2", 3, 2), ("positive", 4, 1),
     ]
     assert quality.expect_all_or_drop(frame, {}).count() == 5
+
+
+ODD_RECORDS = [
+    {**RECORDS[0], "quality": 3, "tags": ["a", None], "note": None},
+    {"datasetId": None, "nested": {"x": {"y": 1}}, "_corrupt": "a field of this name", "é ü": "z"},
+    {},
+]
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_fields_nobody_names_are_kept(spark, tmp_path, lines):
+    path = land(tmp_path / "a", ODD_RECORDS, lines)
+    (tmp_path / "a" / "more.json").write_text("\n \n[" + json.dumps({"a": 1}) + "," + json.dumps({"value": 2}) + "]\n" if lines else "")
+    got = [(r.datasetId, r.value, r._corrupt, json.loads(r._rescued) if r._rescued else None) for r in read_landing(spark, path, not lines, ("note",)).collect()]
+    want = [
+        ("358", "1.25", None, {"quality": "3", "tags": '["a",null]'}),
+        (None, None, None, {"nested": '{"x":{"y":1}}', "_corrupt": "a field of this name", "é ü": "z"}),
+        (None, None, None, None),
+    ] + ([(None, None, None, {"a": "1"}), (None, "2", None, None)] if lines else [])
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("text", ['{"datasetId": 1', "[{}, 7]", "no json", '"text"', "[[]]"])
+def test_what_is_no_record_is_kept_whole(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    for multi_line in (False, True):
+        (row,) = read_landing(spark, str(tmp_path), multi_line).collect()
+        assert (row._corrupt, row._rescued, row.startTime) == (text, None, None)
+
+
+def test_origin_of_rescued_records(spark, tmp_path):
+    raw = with_origin(read_landing(spark, land(tmp_path / "a", ODD_RECORDS, True)), now())
+    assert raw.columns[-3:] == ["_rescued", "source_file", "ingestion_timestamp"]
+    assert all(r.source_file.endswith("batch.json") for r in raw.collect())

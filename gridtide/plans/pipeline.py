@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Dataset, Layout
@@ -18,7 +19,7 @@ from ..session import join_path, pin
 from ..sources.catalog import create_schemas, publish_table, publish_views, schema_name
 from ..sources.landing import rejected_counts, write_landing
 from ..sources.sliced import SlicedTable
-from ..sources.tables import delete_folder, literal_rows, path_exists, write_static
+from ..sources.tables import create_once, delete_folder, literal_rows, path_exists, read_text, write_static
 from ..streaming.bronze import RULE_COUNTS, bronze_schema, run_bronze
 from ..streaming.gold import (
     CHANGING_TABLES,
@@ -28,7 +29,7 @@ from ..streaming.gold import (
     run_fact_generation,
     store_dimensions,
 )
-from ..streaming.metrics import ObservedCounts
+from ..streaming.metrics import MetricsTable, ObservedCounts
 from ..streaming.runs import finish
 from ..streaming.silver import run_silver
 
@@ -58,13 +59,38 @@ def ensure_control(
     return table
 
 
+# Rules for the mark of a dataset after a run: the time of the run, or the end of its newest reading.
+RUN_TIME, NEWEST_READING = "run time", "newest reading"
+
+
 def land(
-    active: DataFrame, feed: Feed, layout: Layout, now: Column, gathered: bool = False
-) -> None:
+    active: DataFrame, feed: Feed, layout: Layout, now: Column, gathered: bool = False, newest: bool = False
+) -> dict[int, str]:
     """Fetch what the windows ask for and store it per dataset and window; records that
-    no window takes are landed as rejected, by reason."""
-    records = feed(plan_windows(active, now))
-    write_landing(place_records(records, active, now), layout.landing, gathered)
+    no window takes are landed as rejected, by reason.
+
+    With ``newest`` it gives the end of the newest reading of each dataset, observed in the
+    same pass: one maximum per active dataset.
+    """
+    placed = place_records(feed(plan_windows(active, now)), active, now)
+    if not newest:
+        write_landing(placed, layout.landing, gathered)
+        return {}
+    ids = [r.source_dataset_id for r in active.select("source_dataset_id").distinct().collect()]  # one row per dataset
+    # A record without a start, which bronze will drop, moves no mark.
+    started = F.col("rejected").isNull() & to_typed("startTime", "timestamp").isNotNull()
+    taken = F.when(started, to_typed("endTime", "timestamp"))
+    of_dataset = [F.max(F.when(F.col("source_dataset_id") == i, F.unix_micros(taken))).alias(str(i)) for i in ids]
+    if not ids:
+        write_landing(placed, layout.landing, gathered)
+        return {}
+    seen = Observation("newest readings")
+    write_landing(placed.observe(seen, *of_dataset), layout.landing, gathered)
+    told = {i: seen.get[str(i)] for i in ids}
+    return {i: (EPOCH + dt.timedelta(microseconds=m)).isoformat() for i, m in told.items() if m is not None}
+
+
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 class PendingRun:
@@ -82,11 +108,15 @@ class PendingRun:
         write_static(literal_rows(self.spark, [(proposed.isoformat(),)], until="string"), path)
         return proposed
 
-    def landed(self) -> bool:
-        return path_exists(self.spark, join_path(self.folder, "landed", "_SUCCESS"))
+    def landed(self) -> dict[int, str] | None:
+        """What was observed while landing; None if that is still to do."""
+        path = join_path(self.folder, "landed.json")
+        if not path_exists(self.spark, path):
+            return None
+        return {int(i): mark for i, mark in json.loads(read_text(self.spark, path)).items()}
 
-    def mark_landed(self) -> None:
-        write_static(literal_rows(self.spark, [(1,)], n="int"), join_path(self.folder, "landed"))
+    def mark_landed(self, newest: dict[int, str]) -> None:
+        create_once(self.spark, join_path(self.folder, "landed.json"), json.dumps(newest))
 
     def finish(self) -> None:
         delete_folder(self.spark, self.folder)
@@ -111,6 +141,13 @@ def marks_of(records: DataFrame, environment: str) -> DataFrame:
     )
 
 
+def marks_seen(spark: SparkSession, newest: dict[int, str], environment: str) -> DataFrame:
+    """Marks from what landing observed; a dataset without readings keeps its mark."""
+    rows = [(i, environment, mark) for i, mark in newest.items()]
+    frame = literal_rows(spark, rows, source_dataset_id="int", environment="string", mark="string")
+    return frame.withColumn("mark", to_typed("mark", "timestamp"))
+
+
 def run_streams(
     spark: SparkSession,
     layout: Layout,
@@ -129,7 +166,8 @@ def run_streams(
     """
     of_bronze, of_silver, of_gold = ({**limits, **(o or {})} for o in (bronze_options, silver_options, gold_options))
     store_dimensions(spark, layout)
-    with ObservedCounts(spark, RULE_COUNTS) as counts:
+    history = MetricsTable(spark, layout.at("landing_admin", "rule_metrics"))
+    with ObservedCounts(spark, RULE_COUNTS, history=history) as counts:
         raw = finish(run_bronze(spark, layout, d, now, **of_bronze) for d in datasets)
         totals = {d.bronze_table: counts.of(query) for d, query in zip(datasets, raw)}
     typed = dispatch(datasets, TRANSFORMATIONS)
@@ -191,12 +229,14 @@ def run_pipeline(
     seed: DataFrame | None = None,
     keep_versions: int | None = 10,
     gathered: bool = False,
+    marks: str = RUN_TIME,
     **limits,
 ) -> dict[str, dict[str, int]]:
     """Control table, landing, streams, and last the watermark.
 
     One time, ``now``, ends the windows, is the arrival time in all layers, and becomes
-    the watermark. A run that stops anywhere before its end is repeated with the same
+    the watermark; with ``marks=NEWEST_READING`` the watermark is where the newest landed
+    reading of a dataset ends, so data published late is still asked for by the next run. A run that stops anywhere before its end is repeated with the same
     end, whatever ``now`` says, and windows that are landed are not landed again, so
     bronze and silver do not double. Counts of records that no window took come under
     ``rejected``. Of changing tables ``keep_versions`` versions stay. A feed whose records
@@ -210,15 +250,18 @@ def run_pipeline(
     table = ensure_control(spark, layout, first_rows, until)
     rows = table.read(spark)
     active = control.active_datasets(rows, layout.environment)
-    if not pending.landed():
-        land(active, feed, layout, until, gathered)
-        pending.mark_landed()
+    if marks not in (RUN_TIME, NEWEST_READING):
+        raise ValueError(f"marks: {marks!r} is neither {RUN_TIME!r} nor {NEWEST_READING!r}")
+    newest = pending.landed()
+    if newest is None:
+        newest = land(active, feed, layout, until, gathered, marks == NEWEST_READING)
+        pending.mark_landed(newest)
     totals = run_streams(spark, layout, datasets, until, **limits)
     refused = {r.reason: r.n for r in rejected_counts(spark, layout.landing, until).collect()}  # one row per reason
     if refused:
         totals["rejected"] = refused
-    marks = marks_at(active, layout.environment, until)
-    table.replace(spark, control.advance_watermark(rows, marks))
+    told = marks_at(active, layout.environment, until) if marks == RUN_TIME else marks_seen(spark, newest, layout.environment)
+    table.replace(spark, control.advance_watermark(rows, told))
     pending.finish()
     republish(spark, layout)
     if keep_versions:

@@ -8,17 +8,19 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Layout
+from ..config import Dataset, Layout
 from ..functions.calendar import floor_to_quarter_hour, time_of_day_text
+from ..functions.typing import clock
 from ..functions.units import distance_km
 from ..operators import control, dims, explore, lookups, quality, silver, windows
 from ..operators.bronze import with_origin
 from ..operators.upsert import CONSUMPTION_KEYS, CUSTOMER_TYPE_KEYS, GENERATION_KEYS, latest_per_key
 from ..schemas import BRONZE, CONTROL, RESCUED_COLUMN, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import join_path, pin, work_folder
-from ..sources.landing import read_landing
-from ..sources.tables import empty_table, ensure_folder, read_table, stream_table, write_static
-from ..streaming.bronze import run_bronze
+from ..sources.landing import dataset_key, read_landing, write_landing, write_whole_records
+from ..sources.paged import fields_of, read_windows
+from ..sources.tables import delete_folder, empty_table, ensure_folder, folder_entries, read_table, stream_table, write_static
+from ..streaming.bronze import RULE_COUNTS, run_bronze
 from ..streaming.gold import (
     dim_customer_type_table,
     fact_consumption_table,
@@ -26,17 +28,28 @@ from ..streaming.gold import (
     store_dimensions,
     stored_dimensions,
 )
-from ..streaming.runs import finish
+from ..streaming.metrics import MetricsTable, ObservedCounts
+from ..streaming.runs import batch_run, finish
 from ..streaming.silver import run_silver
 from ..streaming.upsert import run_upsert
 from . import change_queries  # noqa: F401  registers its queries
-from .pipeline import ensure_control, gold_tables, land, marks_of, run_pipeline
+from .pipeline import (
+    NEWEST_READING,
+    RUN_TIME,
+    control_table,
+    ensure_control,
+    gold_tables,
+    land,
+    marks_of,
+    run_pipeline,
+)
 from .feeds import (
     EVENT_DATASETS,
     dataset_id_of,
     end_of_events,
     event_control,
     event_feed,
+    event_pages,
     order_feed,
     table,
 )
@@ -247,6 +260,41 @@ def bronze_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_fields(with_origin(read_landing(spark, layout.landing)))
 
 
+# As many windows as bronze_landing_roundtrip plans, but of whole records and in pages.
+SQL_PAGED = f"""
+    SELECT l."datasetId", l.start_time, l.value, l.k, l.dataset, l.batch, l.rest
+    FROM (SELECT CAST({SQL_DATASET_ID} AS VARCHAR) AS "datasetId", ts AS start_time, value, {SQL_K} AS k,
+                 concat({SQL_DATASET_ID}, '_', event_type) AS dataset,
+                 concat(strftime(window_start, '%Y%m%dT%H%M%SZ'), '_to_',
+                        strftime(least(window_start + to_days(step), now_), '%Y%m%dT%H%M%SZ')) AS batch,
+                 CAST(json_object('event_id', CAST(event_id AS VARCHAR), 'user_id', CAST(user_id AS VARCHAR)) AS VARCHAR) AS rest
+          FROM (SELECT e.*, c.load_increment_days AS step, {SQL_NOW} AS now_,
+                       c.last_timestamp + to_days(CAST(c.load_increment_days * (date_diff('microsecond',
+                           c.last_timestamp, e.ts) // (c.load_increment_days * 86400000000)) AS INTEGER))
+                           AS window_start
+                FROM events e JOIN ({SQL_CONTROL}) c ON c.source_dataset_name = e.event_type AND c.is_active)) l"""
+
+
+def _end_moment(spark: SparkSession, sf_dir: str) -> dt.datetime:
+    """Just after the last event."""
+    last = table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    return last.replace(tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=1)
+
+
+@query(SQL_PAGED)
+def paged_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of all planned windows by the paged source, one partition a window."""
+    records = read_windows(spark, event_pages(sf_dir), _active(spark, sf_dir), _end_moment(spark, sf_dir))
+    named = fields_of(records).withColumns(
+        {
+            "source_file": F.concat(
+                F.lit("dataset="), dataset_key("source_dataset_id", "source_dataset_name"), F.lit("/batch="), windows.batch_name(F.col("window_start"), F.col("window_end"))
+            )
+        }
+    )
+    return _landed_columns(named, F.col(RESCUED_COLUMN).alias("rest")).drop("end_time")
+
+
 def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of which some lack their start and some their end."""
     feed = event_feed(spark, sf_dir)
@@ -552,6 +600,39 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return advanced.select("source_dataset_id", "environment", "page_size", "last_timestamp")
 
 
+def _marks_after_run(spark: SparkSession, sf_dir: str, marks: str) -> DataFrame:
+    layout = Layout(work_folder(spark, "marks"))
+    records = event_feed(spark, sf_dir).drop("ingestion_timestamp")
+    run_pipeline(
+        spark, layout, EVENT_DATASETS, lambda planned: records, _end_moment(spark, sf_dir), event_control(spark, sf_dir), marks=marks
+    )
+    return control_table(layout).read(spark).select("source_dataset_id", "environment", "page_size", "last_timestamp")
+
+
+@query(
+    f"""SELECT source_dataset_id, environment, page_size,
+               CASE WHEN is_active THEN {SQL_NOW} ELSE last_timestamp END AS last_timestamp
+        FROM ({SQL_CONTROL})"""
+)
+def watermark_run_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a whole run, every active dataset stands at the time of the run."""
+    return _marks_after_run(spark, sf_dir, RUN_TIME)
+
+
+@query(CATALOG["watermark_advance"].sql)
+def watermark_newest_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a whole run, every active dataset stands at the end of its newest reading, which landing observed."""
+    return _marks_after_run(spark, sf_dir, NEWEST_READING)
+
+
+@query(CATALOG["plan_batch_windows"].sql)
+def plan_windows_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window planning with its parameters as text, ``7.0``, as a job hands them on."""
+    active = _active(spark, sf_dir)
+    texts = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("page_size", "load_increment_days")}
+    return windows.plan_windows(active.withColumns(texts), end_of_events(spark, sf_dir))
+
+
 # --- exploration -----------------------------------------------------------------
 
 
@@ -635,6 +716,113 @@ def stream_bronze_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_fields(lookups.union_readings(*tables))
 
 
+PAGED_DAYS = 10
+
+
+@query(f"SELECT * EXCLUDE (batch) FROM ({SQL_PAGED})")
+def stream_paged_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paged source as a stream that lands whole records: two runs, the second from where the first ended."""
+    root = work_folder(spark, "paged")
+    landing = join_path(root, "landing")
+    end, active = _end_moment(spark, sf_dir), _active(spark, sf_dir)
+    first = dt.datetime(end.year, end.month, end.day, tzinfo=dt.timezone.utc) - dt.timedelta(days=PAGED_DAYS)
+    for until in (first, end):
+        records = read_windows(spark, event_pages(sf_dir), active, until, stream=True)
+        run = batch_run(records, lambda batch, _: write_whole_records(batch, landing), join_path(root, "checkpoint"), "paged")
+        finish([run])
+    landed = with_origin(read_landing(spark, landing))
+    return _landed_columns(landed, F.col(RESCUED_COLUMN).alias("rest")).drop("end_time", "batch")
+
+
+@query(
+    f"""SELECT '245_click' AS dataset, rule, sum(passed)::BIGINT AS passed, sum(failed)::BIGINT AS failed, 2::BIGINT AS batches
+        FROM (SELECT event_type, 'Rule1' AS rule, 1 AS passed, 0 AS failed FROM events
+              UNION ALL SELECT event_type, 'Rule2', CASE WHEN value >= 5 THEN 1 ELSE 0 END, CASE WHEN value < 5 THEN 1 ELSE 0 END FROM events)
+        WHERE event_type = 'click' GROUP BY ALL
+        UNION ALL
+        SELECT '102_error', rule, sum(passed)::BIGINT, sum(failed)::BIGINT, 1::BIGINT
+        FROM (SELECT event_type, 'Rule1' AS rule, 0 AS passed, 1 AS failed FROM events
+              UNION ALL SELECT event_type, 'Rule2', CASE WHEN value >= 5 THEN 1 ELSE 0 END, CASE WHEN value < 5 THEN 1 ELSE 0 END FROM events)
+        WHERE event_type = 'error' GROUP BY ALL"""
+)
+def rule_metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts as kept after two runs of bronze and a repeat of the last batch of each stream.
+
+    The readings of one dataset all lack their start, so its last window has them all: one batch."""
+    layout = Layout(work_folder(spark, "metrics"))
+    history = MetricsTable(spark, layout.at("landing_admin", "rule_metrics"))
+    datasets = [d for d in EVENT_DATASETS if d.name in ("click", "error")]
+    seed = event_control(spark, sf_dir).drop("is_active")
+    active = control.active_datasets(control.with_defaults(seed, "dev"), "dev")
+    until = end_of_events(spark, sf_dir)
+    records = windows.assign_windows(_flawed(spark, sf_dir).drop("ingestion_timestamp"), active, until)
+    middle = F.col("window_start") < until - F.expr(f"INTERVAL {PAGED_DAYS} DAYS")
+
+    def run() -> None:
+        with ObservedCounts(spark, RULE_COUNTS, history=history):
+            finish(run_bronze(spark, layout, d) for d in datasets)
+
+    for part in (middle, ~middle):
+        write_landing(records.where(part), layout.landing)
+        run()
+    for d in datasets:
+        checkpoint = layout.checkpoint("bronze", d.bronze_table)
+        last = max(int(n) for n in folder_entries(spark, join_path(checkpoint, "commits")) if n.isdigit())
+        delete_folder(spark, join_path(checkpoint, "commits", str(last)))
+    run()
+    kept = history.read().withColumn("dataset", F.regexp_replace("stream", "_raw_table$", ""))
+    return kept.groupBy("dataset", "rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), F.count_distinct("batch_id").alias("batches"))
+
+
+PRIORITIES = [Dataset(int(name[0]), name) for name in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+
+
+@query(
+    """SELECT concat(o_orderpriority[1], '_', replace(replace(lower(o_orderpriority), ' ', '_'), '-', '_')) AS silver_table,
+              o_orderpriority[1] AS "datasetId", o_orderdate AS start_time, o_totalprice AS value_mwh FROM orders"""
+)
+def order_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dataset per order priority, with blanks and hyphens in its name, from landing to a silver table of its own."""
+    layout = Layout(work_folder(spark, "orders"))
+    first = F.col("datasetId").substr(1, 1)
+    day = F.date_trunc("month", F.col("startTime").cast("timestamp"))
+    records = order_feed(spark, sf_dir).drop("ingestion_timestamp").select(
+        first.cast("int").alias("source_dataset_id"),
+        F.col("datasetId").alias("source_dataset_name"),
+        day.alias("window_start"),
+        (day + F.expr("INTERVAL 1 MONTH")).alias("window_end"),
+        first.alias("datasetId"),
+        "startTime",
+        "endTime",
+        "value",
+        "additionalJson",
+    )
+    write_landing(records, layout.landing)
+    finish(run_bronze(spark, layout, d) for d in PRIORITIES)
+    pairs = silver.dispatch(PRIORITIES, {d.id: silver.generation for d in PRIORITIES})
+    finish(run_silver(spark, layout, d, transform) for d, transform in pairs)
+    tables = [_dispatched_columns(d.silver_table, read_table(spark, layout.silver(d), SILVER_GENERATION)) for d, _ in pairs]
+    return lookups.union_readings(*tables).drop("consumption_mwh")
+
+
+@query(
+    f"""SELECT CAST({SQL_DATASET_ID} AS VARCHAR) AS "datasetId", ts AS start_time, {SQL_NOW} AS bronze_ingestion_timestamp, {SQL_NOW} AS silver_processed_timestamp,
+               {SQL_NOW} AS gold_processed_timestamp FROM events WHERE event_type = 'purchase'"""
+)
+def stamped_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival and processing times of all layers under a passed clock."""
+    layout = _land_events(spark, sf_dir)
+    now = F.lit(_end_moment(spark, sf_dir)).cast("timestamp")
+    (dataset,) = [d for d in EVENT_DATASETS if d.id == silver.CONSUMPTION]
+    finish([run_bronze(spark, layout, dataset, now)])
+    finish([run_silver(spark, layout, dataset, silver.consumption, now)])
+    typed = read_table(spark, layout.silver(dataset), SILVER_CONSUMPTION)
+    stamped = lookups.with_time_keys(typed, dims.dim_date(spark), dims.dim_time(spark))
+    return stamped.select(
+        "datasetId", "start_time", "bronze_ingestion_timestamp", "silver_processed_timestamp", clock(now).alias("gold_processed_timestamp")
+    )
+
+
 @query(SQL_DISPATCH)
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _bronze_run(spark, sf_dir)

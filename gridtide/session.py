@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -58,6 +59,18 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def share_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers of this machine find the package where the driver has it; on a
+    cluster it is installed, or sent with ``--py-files``."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH")) if x)
+    return spark
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables and stream checkpoints.
 

@@ -77,6 +77,23 @@ def write_landing(records: DataFrame, root: str, gathered: bool = False) -> None
     )
 
 
+def write_whole_records(windows: DataFrame, root: str) -> None:
+    """Land records as the source gave them, one JSON text a line, per dataset and window.
+
+    The windows come gathered, one per task, so there is no shuffle. A window that is
+    landed again replaces its former files.
+    """
+    dataset = dataset_key("source_dataset_id", "source_dataset_name").alias("dataset")
+    batch = batch_name(F.col("window_start"), F.col("window_end")).alias("batch")
+    (
+        windows.select(dataset, batch, "value")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "batch")
+        .text(root)
+    )
+
+
 def landing_schema(extra_fields: Sequence[str] = ()) -> T.StructType:
     added = [T.StructField(f, TEXT) for f in extra_fields if f not in LANDING.fieldNames()]
     return T.StructType([*LANDING.fields, *added, T.StructField(CORRUPT_COLUMN, TEXT), T.StructField(RESCUED_COLUMN, TEXT)])
@@ -98,8 +115,9 @@ def infer_extra_fields(spark: SparkSession, path: str, multi_line: bool = False)
 EVERY_FOLDER = {"recursiveFileLookup": "true"}
 
 
-def _records(texts: DataFrame, extra_fields: Sequence[str]) -> DataFrame:
-    """Records of JSON texts, each an object or an array of them, in one parse.
+def records_of(texts: DataFrame, extra_fields: Sequence[str] = (), others: Sequence[str] = ()) -> DataFrame:
+    """Records of the JSON texts in ``value``, each an object or an array of them, in one parse;
+    ``others`` are columns that stay.
 
     Every field is text, a nested one its JSON. The named fields are columns; all others of a record
     are kept as one JSON object in the rescued column, so that a source may add fields at any
@@ -112,9 +130,10 @@ def _records(texts: DataFrame, extra_fields: Sequence[str]) -> DataFrame:
     parsed = F.from_json(whole, "array<map<string,string>>")
     bad = parsed.isNull() | F.exists(parsed, lambda record: record.isNull())
     one = F.explode(F.when(bad, F.array(F.lit(None).cast("map<string,string>"))).otherwise(parsed))
-    rows = texts.where(F.trim(value, F.lit(" \t\r\n")) != "").select(value, one.alias("record"))
+    rows = texts.where(F.trim(value, F.lit(" \t\r\n")) != "").select(*others, value, one.alias("record"))
     rest = F.map_filter("record", lambda name, _: ~name.isin(named))
     return rows.select(
+        *others,
         *[F.try_element_at("record", F.lit(name)).alias(name) for name in named],
         F.when(F.col("record").isNull(), F.col("value")).alias(CORRUPT_COLUMN),
         F.when(F.size(rest) > 0, F.to_json(rest)).alias(RESCUED_COLUMN),
@@ -128,7 +147,7 @@ def read_landing(
     extra_fields: Sequence[str] = (),
 ) -> DataFrame:
     """All files below a folder as a batch frame."""
-    return _records(spark.read.options(**EVERY_FOLDER).text(path, wholetext=multi_line), extra_fields)
+    return records_of(spark.read.options(**EVERY_FOLDER).text(path, wholetext=multi_line), extra_fields)
 
 
 def stream_landing(
@@ -141,4 +160,4 @@ def stream_landing(
     """Files not seen by this stream before; ``limits`` are options of the file
     source such as maxFilesPerTrigger, maxBytesPerTrigger or cleanSource."""
     reader = spark.readStream.options(**{**ANY_AGE, **EVERY_FOLDER, **limits})
-    return _records(reader.text(path, wholetext=multi_line), extra_fields)
+    return records_of(reader.text(path, wholetext=multi_line), extra_fields)

@@ -16,6 +16,12 @@ EAGER = {name for name in CATALOG if name.startswith("stream_")} | {
     "bronze_landing_roundtrip",
     "bronze_all_fields",
     "pipeline_facts",
+    "paged_windows",
+    "rule_metrics_history",
+    "order_dispatch",
+    "stamped_layers",
+    "watermark_run_time",
+    "watermark_newest_reading",
 }
 LAZY = sorted(CATALOG.keys() - EAGER)
 

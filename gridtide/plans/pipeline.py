@@ -17,7 +17,7 @@ from ..operators.windows import place_records, plan_windows
 from ..schemas import CONTROL, SILVER_CONSUMPTION, SILVER_GENERATION
 from ..session import join_path, pin
 from ..sources.catalog import create_schemas, publish_table, publish_views, schema_name
-from ..sources.landing import rejected_counts, write_landing
+from ..sources.landing import archive_landed, rejected_counts, write_landing
 from ..sources.sliced import SlicedTable
 from ..sources.tables import create_once, delete_folder, literal_rows, path_exists, read_text, write_static
 from ..streaming.bronze import RULE_COUNTS, bronze_schema, run_bronze
@@ -230,6 +230,7 @@ def run_pipeline(
     keep_versions: int | None = 10,
     gathered: bool = False,
     marks: str = RUN_TIME,
+    archive: bool = True,
     **limits,
 ) -> dict[str, dict[str, int]]:
     """Control table, landing, streams, and last the watermark.
@@ -241,7 +242,8 @@ def run_pipeline(
     bronze and silver do not double. Counts of records that no window took come under
     ``rejected``. Of changing tables ``keep_versions`` versions stay. A feed whose records
     come window by window is ``gathered``. ``limits`` may hold options of one layer,
-    see ``run_streams``.
+    see ``run_streams``. With ``archive`` windows that bronze has read move
+    to ``landing_archive``, so the next run lists only what is new.
     """
     pin(spark)
     pending = PendingRun(spark, layout)
@@ -263,6 +265,9 @@ def run_pipeline(
     told = marks_at(active, layout.environment, until) if marks == RUN_TIME else marks_seen(spark, newest, layout.environment)
     table.replace(spark, control.advance_watermark(rows, told))
     pending.finish()
+    if archive:
+        for d in datasets:
+            archive_landed(spark, layout.landing_of(d), layout.at("landing_archive", f"dataset={d.key}"))
     republish(spark, layout)
     if keep_versions:
         for changing in (table, *gold_tables(layout).values()):

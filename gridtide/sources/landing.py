@@ -9,16 +9,19 @@ task then needs memory for a whole file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import Dataset
 from ..functions.typing import as_column, compact_text
 from ..operators.windows import batch_name
 from ..schemas import CORRUPT_COLUMN, LANDING, RESCUED_COLUMN, TEXT
-from .tables import ANY_AGE, path_exists
+from ..session import join_path
+from .tables import ANY_AGE, delete_folder, folder_entries, literal_rows, move_folder, path_exists
 
 
 def dataset_key(dataset_id, dataset_name):
@@ -94,6 +97,53 @@ def write_whole_records(windows: DataFrame, root: str) -> None:
     )
 
 
+# Folders of landed windows, and of records taken in again; others are left where they are.
+LANDED = re.compile(r"batch=(\d{8}T\d{6}Z_to_\d{8}T\d{6}Z|[a-z_]+_at_\d{8}T\d{6}Z)")
+
+
+def archive_landed(spark: SparkSession, landing: str, archive: str) -> list[str]:
+    """Move the landed windows of a dataset out of the folder that its stream lists.
+
+    Only names move, so a run lists what was landed since the last one and not its whole history.
+    """
+    moved = [name for name in folder_entries(spark, landing) if LANDED.fullmatch(name)]
+    for name in moved:
+        move_folder(spark, join_path(landing, name), join_path(archive, name))
+    return moved
+
+
+def readmit(spark: SparkSession, root: str, datasets: Sequence[Dataset], reason: str) -> int:
+    """Land records again that no window took for this ``reason``; the next run reads them.
+
+    Each goes, as it is, to the folder of the dataset its ``datasetId`` names, under the name
+    it was rejected by, so a call that is interrupted can be repeated. Records of no known dataset stay
+    rejected. Gives the number of records landed.
+    """
+    folder = join_path(root, f"dataset={REJECTED}")
+    names = [name for name in folder_entries(spark, folder) if name.startswith(f"batch={reason}_at_")]
+    if not names or not datasets:
+        return 0
+    known = literal_rows(spark, [(str(d.id), d.key) for d in datasets], id="string", dataset="string")
+    texts = spark.read.option("basePath", folder).text([join_path(folder, name) for name in names])
+    named = texts.join(known, F.get_json_object("value", "$.datasetId") == F.col("id"), "left")
+    back = named.where("dataset IS NOT NULL").select("dataset", "batch", "value")
+    seen = Observation("readmitted")
+    (
+        back.observe(seen, F.count(F.lit(1)).alias("n"))
+        .hint("rebalance", "dataset", "batch")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "batch")
+        .text(root)
+    )
+    left = named.where("dataset IS NULL").select(F.lit(REJECTED).alias("dataset"), F.concat(F.lit("no_dataset"), F.regexp_extract("batch", "_at_.*", 0)).alias("batch"), "value")
+    if reason != "no_dataset":
+        left.write.mode("append").partitionBy("dataset", "batch").text(root)
+        for name in names:
+            delete_folder(spark, join_path(folder, name))
+    return seen.get["n"]
+
+
 def landing_schema(extra_fields: Sequence[str] = ()) -> T.StructType:
     added = [T.StructField(f, TEXT) for f in extra_fields if f not in LANDING.fieldNames()]
     return T.StructType([*LANDING.fields, *added, T.StructField(CORRUPT_COLUMN, TEXT), T.StructField(RESCUED_COLUMN, TEXT)])

@@ -41,6 +41,22 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another name; where that is taken (by a run that was interrupted), what is missing there is moved."""
+    files, where = _located(spark, path)
+    _, to = _located(spark, target)
+    if not files.exists(to):
+        files.mkdirs(to.getParent())
+        if files.rename(where, to):
+            return
+        raise OSError(f"could not move {path} to {target}")
+    for entry in folder_entries(spark, path):
+        _, part = _located(spark, f"{target.rstrip('/')}/{entry}")
+        if not files.exists(part):
+            files.rename(spark._jvm.org.apache.hadoop.fs.Path(where, entry), part)
+    files.delete(where, True)
+
+
 def folder_entries(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders directly below; none if it is missing."""
     files, where = _located(spark, path)

@@ -1,12 +1,15 @@
 """The whole run on a small feed."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridtide.config import Layout, parse_datasets
+from gridtide.plans import pipeline
 from gridtide.plans.pipeline import control_table, publish, run_pipeline
+from gridtide.sources.landing import archive_landed, read_landing, readmit
 from gridtide.streaming.gold import (
     dim_customer_type_table,
     fact_consumption_table,
@@ -174,3 +177,59 @@ def test_old_files_are_read(spark, tmp_path):
         stream = stream_landing(spark, str(folder))
         finish([append_run(stream, out, str(tmp_path / "checkpoint"), "old_files")])
     assert spark.read.parquet(out).count() == 2
+
+
+def folders(layout, dataset, root="landing"):
+    path = layout.at(root, f"dataset={dataset.key}")
+    return sorted(n for n in os.listdir(path) if n.startswith("batch=")) if os.path.isdir(path) else []
+
+
+def test_a_run_lists_only_what_is_new(spark, rows, layout, monkeypatch):
+    """Windows that bronze has read are archived; other files in the landing zone stay and are read once."""
+    wind = DATASETS[1]
+    listed = []
+    streams = pipeline.run_streams
+    monkeypatch.setattr(pipeline, "run_streams", lambda *a, **k: listed.append(folders(layout, wind)) or streams(*a, **k))
+    first = [reading(245, f"2025-01-{d:02d}T00:00:00Z", "1") for d in (1, 15, 30)]
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, first), dt.datetime(2025, 2, 1, tzinfo=UTC))
+    assert len(listed[0]) == 2 and folders(layout, wind) == []
+    other = layout.landing_of(wind) + "/dropped.json"
+    with open(other, "w") as out:
+        out.write('{"datasetId": "245", "startTime": "2025-02-01T01:00:00Z", "endTime": "2025-02-01T01:15:00Z", "value": 4}')
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, [reading(245, "2025-02-01T00:00:00Z", "2")]), dt.datetime(2025, 2, 2, tzinfo=UTC))
+    assert len(listed[1]) == 1 and folders(layout, wind) == [] and os.path.exists(other)
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 3, tzinfo=UTC))
+    assert listed[2] == []
+    assert spark.read.parquet(layout.bronze(wind)).count() == 5
+    assert len(folders(layout, wind, "landing_archive")) == 3
+    assert read_landing(spark, layout.at("landing_archive")).count() == 4
+
+
+def test_archiving_that_was_interrupted(spark, layout, tmp_path):
+    source, target = tmp_path / "s", tmp_path / "t"
+    name = "batch=20250101T000000Z_to_20250102T000000Z"
+    for folder, files in ((source / name, "ab"), (target / name, "a"), (source / "else", "c")):
+        folder.mkdir(parents=True)
+        for f in files:
+            (folder / f).write_text(f)
+    assert archive_landed(spark, str(source), str(target)) == [name]
+    assert sorted(p.name for p in (target / name).iterdir() if not p.name.startswith(".")) == ["a", "b"]
+    assert sorted(os.listdir(source)) == ["else"]
+
+
+def test_records_before_the_mark_can_be_taken_in_again(spark, rows, layout):
+    old = reading(245, "2024-12-31T23:45:00Z", "7")
+    records = [old, reading(999, "2024-12-31T23:45:00Z", "8"), (245, "no such id", "2024-12-30T00:00:00Z", "2024-12-30T00:15:00Z", "9", None)]
+    totals = run_pipeline(spark, layout, DATASETS, feed_of(spark, records), dt.datetime(2025, 2, 1, tzinfo=UTC))
+    assert totals["rejected"] == {"before_mark": 2, "unknown_dataset": 1}
+    assert readmit(spark, layout.landing, DATASETS, "before_mark") == 1
+    assert readmit(spark, layout.landing, DATASETS, "before_mark") == 0
+    totals = run_pipeline(spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 2, tzinfo=UTC))
+    assert totals["245_wind_power_generation_raw_table"]["total"] == 1
+    fact = fact_generation_table(layout.gold("fact_generation_forecast"))
+    assert rows(fact.read(spark), "start_date_id", "value_mwh") == [(20241231, 7.0)]
+    # what names no dataset is still there, by that reason
+    left = os.listdir(layout.at("landing", "dataset=_rejected"))
+    assert [n.split("_at_")[0] for n in sorted(left) if n.startswith("batch=")] == ["batch=no_dataset", "batch=unknown_dataset"]
+    run_pipeline(spark, layout, DATASETS, feed_of(spark, []), dt.datetime(2025, 2, 3, tzinfo=UTC))
+    assert fact.read(spark).count() == 1

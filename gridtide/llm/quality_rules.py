@@ -1,8 +1,8 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
 Each rule votes good, bad or abstains. Expectation-maximisation over the counts of
-vote patterns estimates, for either class, how often each rule that votes is right, and the posterior probability of
-good quality decides instead of an all-must-pass filter.
+vote patterns estimates, for good texts and for each kind of junk, how often each rule that votes calls them
+bad, and the posterior probability of good quality decides instead of an all-must-pass filter.
 
 The texts are read once; words, windows and lines are compared inside the row, so
 nothing of a text is shuffled, and a very long text costs memory in proportion to
@@ -93,64 +93,84 @@ def _vote(bad: Column, good: Column | None = None) -> Column:
 
 
 def default_rules() -> dict[str, Column]:
-    """Votes over STATS. A rule abstains where it knows little; only the length and the
-    variety of lines speak for a text."""
-    n = F.col("n_words")
+    """Votes over STATS. Every rule can speak for a text as well as against it, and abstains in between,
+    so the share of bad votes among its votes tells how it does in either class. Heavy cases
+    have a rule of their own beside the ordinary one: what is plainly junk gets two bad votes."""
+    n, chars = F.col("n_words"), F.col("word_chars")
+    symbols, shouts, again = F.col("n_symbols"), F.col("n_shouts"), F.col("n_repeat_words")
     return {
         "length": _vote(n < 30, n >= 80),
-        "word_length": _vote((F.col("word_chars") < 3 * n) | (F.col("word_chars") > 12 * n)),
-        "symbols": _vote(10 * F.col("n_symbols") > n),
-        "lines": _vote(10 * F.col("n_dup_lines") > 3 * F.col("n_lines"), (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3)),
-        "repeats": _vote(100 * F.col("n_repeat_words") > 15 * n),
-        "shouts": _vote(20 * F.col("n_shouts") > n),
+        "word_length": _vote((chars < 3 * n) | (chars > 12 * n), (chars >= 4 * n) & (chars <= 9 * n)),
+        "symbols": _vote(10 * symbols > n, 50 * symbols <= n),
+        "symbol_share": _vote(6 * symbols > chars, 40 * symbols <= chars),
+        "lines": _vote(10 * F.col("n_dup_lines") > 3 * F.col("n_lines"), F.col("n_dup_lines") == 0),
+        "repeats": _vote(100 * again > 15 * n, 100 * again <= 2 * n),
+        "mostly_repeats": _vote(100 * again > 25 * n, 100 * again <= 10 * n),
+        "shouts": _vote(20 * shouts > n, 100 * shouts <= n),
     }
 
 
-# Prior of a rule's votes in either class, worth this share of all documents: a rule
-# seldom calls a good text bad, and of a bad text it may know nothing.
-PRIOR_SHARE = 0.02
-PRIOR_BAD = {"q": 0.02, "(1D - q)": 0.5}
-# Bounds of the estimated share of bad votes. Rules that abstain unless sure call few
-# good texts bad; without a bound a kind of junk that only one rule knows would
-# come out as that rule's error.
-BOUND_BAD = {"q": (1e-4, 0.02), "(1D - q)": (0.3, 0.9)}
-# Prior share of good texts, worth as much as all documents together.
-PRIOR_GOOD = {"q": 0.85, "(1D - q)": 0.15}
-
-
-def posteriors(patterns: DataFrame, m: int, iterations: int = 30) -> DataFrame:
-    """(pattern, posterior) from (pattern, n): a pattern holds the votes of m rules in base 3.
-
-    For either class and each rule the estimate is the share of bad votes among the
-    votes the rule cast; an abstention says nothing. Starts from the number of bad
-    votes. The patterns are sorted first, so sums do not depend on their order.
+# Rules that look at the same side of a text: what several of them call bad is one kind of junk.
+FAMILIES = {
+    "length": "words", "word_length": "words",
+    "symbols": "signs", "symbol_share": "signs", "shouts": "signs",
+    "lines": "repeats", "repeats": "repeats", "mostly_repeats": "repeats",
+}
+
+# Priors, in votes and documents, whatever the size of the corpus: a good text gets this many bad
+# and good votes from a rule, junk those; and so many documents are good, and of each kind of junk.
+PRIOR_GOOD_VOTES, PRIOR_JUNK_VOTES = (0.1, 1.9), (1.0, 1.0)
+PRIOR_GOOD_DOCS, PRIOR_JUNK_DOCS = 1.7, 0.3
+# Probability of a good text with no, one, two or more bad votes from a family, before anything is estimated.
+START = (0.99, 0.9, 0.1)
+# Numeric limits of a share, so that no logarithm is infinite.
+TINY = 1e-6
+
+
+def posteriors(patterns: DataFrame, families: list[str], iterations: int = 30) -> DataFrame:
+    """(pattern, posterior) from (pattern, n): a pattern holds the votes of all rules in base 3, and
+    ``families`` names the family of each rule.
+
+    The classes are good texts and one kind of junk a family. For each class and rule the estimate is the
+    share of bad votes among the votes the rule cast; an abstention says nothing. What the classes
+    mean comes from the start alone (START): two rules of a family that agree make a text a likely case
+    of its junk, one alone hardly. A rule that fires alone in many texts is found to be inaccurate,
+    unless it also fires where others of its family agree. The posterior is that of the good class.
+    The patterns are sorted first, so sums do not depend on their order.
     """
-    def share(of: str) -> str:
-        votes = lambda test: f"aggregate(zip_with(a, post, (p, q) -> if({test}, p.n * {of}, 0D)), 0D, (s, x) -> s + x)"
-        vote = "element_at(p.v, cast(i div 3 as int) + 1)"
-        weight = f"({PRIOR_SHARE}D * aggregate(a, 0D, (s, x) -> s + x.n) + 1D)"
-        rate = f"(({votes(f'{vote} = {BAD}')} + {PRIOR_BAD[of]}D * {weight}) / ({votes(f'{vote} <> {ABSTAIN}')} + {weight}))"
-        low, high = BOUND_BAD[of]
-        bounded = f"least({high}D, greatest({low}D, {rate}))"
-        return (
-            f"transform(sequence(0, {3 * m - 1}), i -> CASE i % 3 WHEN {ABSTAIN} THEN 0D "
-            f"WHEN {BAD} THEN ln({bounded}) ELSE ln(1D - {bounded}) END)"
-        )
-
-    mass = lambda of: f"ln(aggregate(zip_with(a, post, (p, q) -> p.n * ({of} + {PRIOR_GOOD[of]}D)), 0D, (s, x) -> s + x) + 1D)"
-    place = "cast(j * 3 + element_at(p.v, j + 1) + 1 as int)"
-    ratio = f"aggregate(sequence(0, {m - 1}), e.b - e.g, (s, j) -> s + element_at(e.bs, {place}) - element_at(e.gs, {place}))"
-    step = (
-        f"element_at(transform(array(named_struct('gs', {share('q')}, 'bs', {share('(1D - q)')}, 'g', {mass('q')}, 'b', {mass('(1D - q)')})), "
-        f"e -> transform(a, p -> 1D / (1D + exp({ratio})))), 1)"
-    )
-    start = "transform(a, p -> element_at(array(0.95D, 0.3D, 0.1D), cast(least(size(filter(p.v, x -> x = 0)), 2) as int) + 1))"
+    m, kinds = len(families), sorted(set(families))
     votes = F.array(*[F.floor(F.col("pattern") / 3**j).cast("int") % 3 for j in range(m)])
     row = patterns.groupBy().agg(
         F.sort_array(F.collect_list(F.struct("pattern", votes.alias("v"), F.col("n").cast("double").alias("n")))).alias("a")
     )
+    rules_of = [", ".join(str(j) for j in range(m) if families[j] == kind) for kind in kinds]
+    counts = ", ".join(f"size(filter(array({js}), j -> element_at(p.v, j + 1) = {BAD}))" for js in rules_of)
+    good = f"element_at(array({', '.join(f'{x}D' for x in START)}), cast(least(array_max(c), {len(START) - 1}) as int) + 1)"
+    total = "aggregate(c, 0, (s, x) -> s + x)"
+    share = f"if({total} = 0, 1D / {len(kinds)}, cast(x as double) / {total})"
+    start = f"transform(a, p -> element_at(transform(array(array({counts})), c -> concat(array({good}), transform(c, x -> (1D - {good}) * {share}))), 1))"
+
+    # One round: logarithms of each class's share of documents and of each rule's votes in it, then each pattern's classes.
+    def weighed(k: int, test: str = "true") -> str:
+        return f"aggregate(zip_with(a, post, (p, q) -> if({test}, p.n * q[{k}], 0D)), 0D, (s, x) -> s + x)"
+
+    classes = []
+    for k in range(len(kinds) + 1):
+        bad, right = PRIOR_JUNK_VOTES if k else PRIOR_GOOD_VOTES
+        cast = weighed(k, f"p.v[j] <> {ABSTAIN}")
+        rate = f"least({1 - TINY}D, greatest({TINY}D, ({weighed(k, f'p.v[j] = {BAD}')} + {bad}D) / ({cast} + {bad + right}D)))"
+        mass = f"ln({weighed(k)} + {PRIOR_JUNK_DOCS if k else PRIOR_GOOD_DOCS}D)"
+        classes.append(f"named_struct('mass', {mass}, 'rates', transform(sequence(0, {m - 1}), j -> {rate}))")
+    said = f"CASE p.v[j] WHEN {ABSTAIN} THEN 0D WHEN {BAD} THEN ln(c.rates[j]) ELSE ln(1D - c.rates[j]) END"
+    score = f"transform(e, c -> aggregate(sequence(0, {m - 1}), c.mass, (s, j) -> s + {said}))"
+    weights = "transform(l, x -> exp(x - array_max(l)))"
+    normed = "transform(w, x -> x / aggregate(w, 0D, (s, y) -> s + y))"
+    step = (
+        f"element_at(transform(array(array({', '.join(classes)})), e -> transform(a, p -> element_at(transform(array({score}), "
+        f"l -> element_at(transform(array({weights}), w -> {normed}), 1)), 1))), 1)"
+    )
     done = row.withColumn("post", F.expr(f"aggregate(sequence(1, {iterations}), {start}, (post, t) -> {step})"))
-    return done.select(F.inline(F.expr("zip_with(a, post, (p, q) -> named_struct('pattern', p.pattern, 'posterior', q))")))
+    return done.select(F.inline(F.expr("zip_with(a, post, (p, q) -> named_struct('pattern', p.pattern, 'posterior', q[0]))")))
 
 
 def base_failed() -> Column:
@@ -158,13 +178,20 @@ def base_failed() -> Column:
     return (n < 20) | (100 * F.col("n_repeat_words") > 30 * n)
 
 
-def judged(spark: SparkSession, docs: DataFrame, rules: dict[str, Column] | None = None, threshold: float = 0.5) -> DataFrame:
-    """doc_id, STATS, pattern, posterior, base_failed and kept for each document."""
+def judged(
+    spark: SparkSession,
+    docs: DataFrame,
+    rules: dict[str, Column] | None = None,
+    families: dict[str, str] = FAMILIES,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """doc_id, STATS, pattern, posterior, base_failed and kept for each document. A rule without a family
+    has its own."""
     rules = rules or default_rules()
     pattern = sum((F.lit(3**j) * vote for j, vote in enumerate(rules.values())), F.lit(0)).cast("int")
     voted = stored(spark, measured(docs).withColumn("pattern", pattern), "votes")
     counted = voted.groupBy("pattern").agg(F.count("*").alias("n"))
-    known = posteriors(counted, len(rules))  # at most 3 ** rules rows
+    known = posteriors(counted, [families.get(name, name) for name in rules])  # at most 3 ** rules rows
     return (
         voted.join(F.broadcast(known), "pattern", "left")
         .withColumn("base_failed", base_failed())

@@ -102,6 +102,81 @@ def test_estimated_quality(llm, documents):
     assert all(got[i] for i, _ in good) and not any(got[i] for i, _ in junk)
 
 
+def verdicts(llm, documents, good, noisy, junk=()):
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.op1(llm, documents([*good, *noisy, *junk])).collect()}
+    return [[got[i] for i, _ in group] for group in (good, noisy, junk)]
+
+
+def marked(draw, text, share, mark="#"):
+    return " ".join(w + mark if draw.random() < share else w for w in text.split(" "))
+
+
+def test_a_noisy_rule_is_found_out(llm, documents):
+    """A rule that fires alone on a fifth of the good texts rejects none of them."""
+    draw = random.Random(8)
+    texts = ["\n".join(prose(draw, 30, 5000) for _ in range(5)) for _ in range(300)]
+    good = list(enumerate(texts[:240]))
+    noisy = [(1000 + i, "\n".join(marked(draw, line, 0.2) for line in t.split("\n"))) for i, t in enumerate(texts[240:])]
+    kept = verdicts(llm, documents, good, noisy)
+    assert all(kept[0]) and all(kept[1])
+    votes = quality_rules.judged(llm, documents(noisy)).select("pattern").distinct().collect()
+    place = 3 ** list(quality_rules.default_rules()).index("symbols")
+    assert all(r.pattern // place % 3 == quality_rules.BAD for r in votes)
+
+
+def test_junk_by_agreement(llm, documents):
+    """Where rules of a family agree on some texts, a rule of it that fires alone is believed as well."""
+    draw = random.Random(9)
+    good = [(i, "\n".join(prose(draw, 30, 5000) for _ in range(5))) for i in range(400)]
+    heavy = [(1000 + i, marked(draw, prose(draw, 120, 5000), 1.0, "|||")) for i in range(30)]
+    light = [(2000 + i, marked(draw, prose(draw, 120, 5000), 0.3)) for i in range(20)]
+    kept = verdicts(llm, documents, good, heavy, light)
+    assert all(kept[0]) and not any(kept[1]) and not any(kept[2])
+
+
+def plain_posteriors(counts, families, iterations=30):
+    """Expectation-maximisation over vote patterns, written out."""
+    q = quality_rules
+    kinds = sorted(set(families))
+    patterns = sorted(counts)
+    votes = {p: [p // 3**j % 3 for j in range(len(families))] for p in patterns}
+    post = {}
+    for p in patterns:
+        bad = [sum(v == q.BAD and f == kind for v, f in zip(votes[p], families)) for kind in kinds]
+        good = q.START[min(max(bad), len(q.START) - 1)]
+        post[p] = [good] + [(1 - good) * (b / sum(bad) if sum(bad) else 1 / len(kinds)) for b in bad]
+    for _ in range(iterations):
+        scores = {p: [] for p in patterns}
+        for k in range(len(kinds) + 1):
+            prior = q.PRIOR_JUNK_VOTES if k else q.PRIOR_GOOD_VOTES
+            mass = sum(counts[p] * post[p][k] for p in patterns) + (q.PRIOR_JUNK_DOCS if k else q.PRIOR_GOOD_DOCS)
+            rates = []
+            for j in range(len(families)):
+                bad = sum(counts[p] * post[p][k] for p in patterns if votes[p][j] == q.BAD)
+                cast = sum(counts[p] * post[p][k] for p in patterns if votes[p][j] != q.ABSTAIN)
+                rates.append(min(1 - q.TINY, max(q.TINY, (bad + prior[0]) / (cast + sum(prior)))))
+            for p in patterns:
+                said = [0 if v == q.ABSTAIN else math.log(r if v == q.BAD else 1 - r) for v, r in zip(votes[p], rates)]
+                scores[p].append(math.log(mass) + sum(said))
+        for p in patterns:
+            weights = [math.exp(s - max(scores[p])) for s in scores[p]]
+            post[p] = [w / sum(weights) for w in weights]
+    return {p: post[p][0] for p in patterns}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_posteriors_equal_the_plain_estimate(llm, seed):
+    draw = random.Random(seed)
+    families = draw.choice([list(quality_rules.FAMILIES.values()), ["x"], ["x", "y", "x", "z"]])
+    counts = {draw.randrange(3 ** len(families)): draw.choice([1, 3, 40, 2000]) for _ in range(60)}
+    frame = llm.createDataFrame(list(counts.items()), "pattern int, n long")
+    got = {r["pattern"]: r["posterior"] for r in quality_rules.posteriors(frame.repartition(3), families).collect()}
+    want = plain_posteriors(counts, families)
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert quality_rules.posteriors(frame.limit(0), families).collect() == []
+
+
 def lines_left(rows):
     """Brute force of the line dedup: edit similarity of all pairs."""
     def normal(line):

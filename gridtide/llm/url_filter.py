@@ -8,8 +8,8 @@ component an explicit allow goes before a block, and without either a url is all
 A rule that fits the url itself goes before all of that.
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path,
-fits no rule, has no alias and is allowed; a link without a usable target is no
-edge; repeated pages are judged alike; an empty table gives none.
+fits no rule, has no alias and is allowed; all links of a page count, relative ones from the
+page's folder, with the usual entities; a link without a usable target is no edge; repeated pages are judged alike; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -74,19 +74,48 @@ def node_of(host: Column, path: Column) -> Column:
     return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", "")))
 
 
+# Entities that may stand for characters which matter in a url.
+ENTITIES = {"&(amp|#38|#x26);": "&", "&(sol|#47|#x2f);": "/", "&(colon|#58|#x3a);": ":", "&(period|#46|#x2e);": "."}
+
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.split(path, "/"),
+        none,
+        lambda done, s: F.when(s == ".", done).when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(s))),
+    )
+    return F.array_join(kept, "/")
+
+
+def resolved(url: Column, link: Column) -> Column:
+    """The url that a link in the page at ``url`` leads to; NULL for a scheme without a host, as ``mailto:``."""
+    root = F.regexp_extract(url, "(?s)^.*?://[^/?#]*", 0)
+    folder = F.concat(F.lit("/"), F.regexp_extract(path_of(url), "(?s)^/(.*/)?", 1))
+    path = F.regexp_extract(link, "(?s)^[^?#]*", 0)
+    return (
+        F.when(link.contains("://"), link)
+        .when(link.startswith("//"), F.concat(F.lit("http:"), link))
+        .when(link.rlike(SCHEME), F.lit(None))
+        .when(path == "", url)
+        .when(link.startswith("/"), F.concat(root, without_dots(path)))
+        .otherwise(F.concat(root, without_dots(F.concat(folder, path))))
+    )
+
+
 def link_targets(pages: DataFrame) -> DataFrame:
-    """(url, target) of the redirect and canonical links in the pages."""
+    """(url, target) of all redirect and canonical links in the pages."""
     html = F.col("html")
     some = pages.where(F.col("url").contains("://") & html.rlike("(?i)canonical|http-equiv"))
-    found = F.array_compact(F.array(*[F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in (*CANONICAL, REFRESH)]))
-    links = some.select("url", F.explode(F.array_distinct(found)).alias("link"))
-    root = F.regexp_extract("url", "(?s)^.*?://[^/?#]*", 0)
-    target = (
-        F.when(F.col("link").contains("://"), F.col("link"))
-        .when(F.col("link").startswith("//"), F.concat(F.lit("http:"), F.col("link")))
-        .when(F.col("link").startswith("/"), F.concat(root, F.col("link")))
-    )
-    return links.select("url", target.alias("target")).where("target IS NOT NULL")
+    found = F.array_distinct(F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in (*CANONICAL, REFRESH)]))
+    link = F.col("link")
+    for entity, character in ENTITIES.items():
+        link = F.regexp_replace(link, f"(?i){entity}", character)
+    links = some.select("url", F.explode(found).alias("link")).select("url", link.alias("link"))
+    return links.select("url", resolved(F.col("url"), F.col("link")).alias("target")).where("target IS NOT NULL")
 
 
 def judged(spark: SparkSession, pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -142,15 +171,28 @@ def _case(value: str) -> str:
 
 
 _LINKS = " UNION ".join(
-    f"SELECT url, regexp_extract(html, '{p.replace(chr(39), chr(39) * 2)}', 1) AS link FROM pages WHERE contains(url, '://')"
+    f"SELECT url, unnest(regexp_extract_all(html, '{p.replace(chr(39), chr(39) * 2)}', 1)) AS link FROM pages WHERE contains(url, '://')"
     for p in (*CANONICAL, REFRESH)
 )
+_DECODED = "link"
+for _entity, _character in ENTITIES.items():
+    _DECODED = f"regexp_replace({_DECODED}, '(?i){_entity}', '{_character}', 'g')"
+
+
+def _dotless(path: str) -> str:
+    steps = "lambda a, x: CASE WHEN x[1] = '.' THEN a WHEN x[1] = '..' THEN a[1:greatest(len(a) - 1, 1)] ELSE list_concat(a, x) END"
+    return f"array_to_string(list_reduce(list_transform(string_split({path}, '/'), lambda x: [x]), {steps}, []::VARCHAR[]), '/')"
+
+
+_PLACE = "regexp_extract(link, '(?s)^[^?#]*', 0)"
+_TARGET = f"""CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN 'http:' || link
+    WHEN regexp_matches(link, '{SCHEME}') THEN NULL WHEN {_PLACE} = '' THEN url
+    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) || {_dotless(_PLACE)}
+    ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) || {_dotless("'/' || regexp_extract(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '(?s)^/(.*/)?', 1) || " + _PLACE)} END"""
 _NODE = "CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '') END AS node"
 
 SQL = f"""
-WITH RECURSIVE links AS (SELECT DISTINCT url, CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN 'http:' || link
-    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) || link END AS target
-  FROM ({_LINKS}) WHERE link <> ''),
+WITH RECURSIVE links AS (SELECT DISTINCT url, {_TARGET} AS target FROM (SELECT url, {_DECODED} AS link FROM ({_LINKS}) WHERE link <> '')),
 parts AS (SELECT page_id, url, {_PARTS.format(u='url')} FROM pages),
 seen AS (SELECT page_id, host, path, {_NODE}, {_case('text')} AS rule, {_case('verdict')} AS v FROM parts),
 ends AS (SELECT *, {_case('verdict')} AS v, {_NODE} FROM (SELECT url, target, {_PARTS.format(u='target')} FROM links WHERE target IS NOT NULL)),

@@ -12,7 +12,8 @@ orders alike. Final scores are computed anew from the original vectors in double
 precision, for all candidates within rounding of the k-th, so ties are exact.
 
 Scale: each block of queries meets each shard once, which is what a search of all
-queries in all rows takes; a task holds one shard and one block. Equal vectors are
+queries in all rows takes; a task holds one shard and one block. Blocks go to the trees in rounds, one
+row of at most some BLOCK_VALUES numbers each, so a tree stays where it lies. Equal vectors are
 spread over the shards, and each shard returns k rows a query.
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite
@@ -24,7 +25,9 @@ them is its own candidate; ties go to the smaller id.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-SHARD_ROWS, BLOCK_ROWS, LEAF = 8192, 512, 64
+SHARD_ROWS, LEAF = 8192, 64
+BLOCK_VALUES = 1 << 20  # numbers in a block of queries: 8 MB
 SLACK = 1e-9  # of rounding, between a product of matrices and a sum in order
 
 
@@ -174,6 +178,10 @@ def index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD_ROWS)
     return stored(spark, dealt.groupBy("dim", "shard").applyInPandas(_build, "dim int, shard long, tree binary"), "trees")
 
 
+def _matrix(rows: pa.ListScalar) -> np.ndarray:
+    return rows.values.flatten().to_numpy(zero_copy_only=False).reshape(len(rows.values), -1)
+
+
 def _search(k: int, factor: float):
     def run(batches):
         last, tree = None, None
@@ -183,7 +191,7 @@ def _search(k: int, factor: float):
                 if last != (dim.as_py(), shard.as_py()):
                     last, tree = (dim.as_py(), shard.as_py()), pickle.loads(packed.as_py())
                 asked = np.asarray(ids.as_py(), dtype=np.int64)
-                for query, (near, score) in zip(asked.tolist(), search(tree, asked, _stack(vectors.as_py()), k, factor)):
+                for query, (near, score) in zip(asked.tolist(), search(tree, asked, _matrix(vectors), k, factor)):
                     out["query_id"] += [query] * len(near)
                     out["vec_id"] += near.tolist()
                     out["score"] += score.tolist()
@@ -198,16 +206,35 @@ def nearest(spark: SparkSession, trees: DataFrame, queries: DataFrame, k: int, f
         F.col("query_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
     asked = stored(spark, asked.groupBy("query_id").agg(F.min("embedding").alias("embedding")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK_ROWS))
-    packed = (
-        asked.groupBy(F.size("embedding").alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
-        .agg(F.collect_list(F.struct("query_id", "embedding")).alias("rows"))
-        .select("dim", "block", F.col("rows.query_id").alias("ids"), F.col("rows.embedding").alias("vectors"))
-    )
-    pairs = trees.join(packed, "dim").select("dim", "shard", "tree", "ids", "vectors").sortWithinPartitions("dim", "shard")
-    met = pairs.mapInArrow(_search(k, factor), "query_id long, vec_id long, score double")
+    met = [searched(spark, trees, block, k, factor) for block in query_blocks(asked)]
+    if not met:
+        return asked.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = reduce(DataFrame.union, met)
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def query_blocks(asked: DataFrame) -> Iterator[DataFrame]:
+    """The queries in blocks of at most some BLOCK_VALUES numbers, each one row (dim, ids, vectors)."""
+    counts = asked.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").collect()  # one row per length
+    for r in counts:
+        blocks = max(1, -(-r.n * r.dim // BLOCK_VALUES))
+        dealt = asked.where(F.size("embedding") == r.dim).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+        for k in range(blocks):
+            rows = dealt.where(F.col("block") == k).agg(
+                F.max(F.size("embedding")).alias("dim"), F.collect_list(F.struct("query_id", "embedding")).alias("rows")
+            )
+            yield rows.select("dim", F.col("rows.query_id").alias("ids"), F.col("rows.embedding").alias("vectors"))
+
+
+def searched(spark: SparkSession, trees: DataFrame, block: DataFrame, k: int, factor: float) -> DataFrame:
+    """(query_id, vec_id, score) of one block of queries in every tree.
+
+    The block is one row of bounded size, so it goes to the trees: a tree is read where it lies,
+    once a block, and is neither shuffled nor copied. The result is written, so one block at a time is held.
+    """
+    pairs = trees.join(F.broadcast(block), "dim").select("dim", "shard", "tree", "ids", "vectors")
+    return stored(spark, pairs.mapInArrow(_search(k, factor), "query_id long, vec_id long, score double"), "found")
 
 
 def op4(spark: SparkSession, embeddings: DataFrame) -> DataFrame:

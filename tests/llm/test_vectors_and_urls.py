@@ -122,3 +122,27 @@ def test_a_long_chain(llm):
     pages.append((300, "http://h300.test/p", CANONICAL.format("http://bad.net/")))
     frame = llm.createDataFrame(pages, "page_id long, url string, html string")
     assert url_filter.op5(llm, frame).where("verdict = 'block'").count() == 301
+
+
+def test_blocks_of_queries(llm, monkeypatch):
+    """Many small blocks, vectors of two lengths; trees are neither shuffled nor copied."""
+    monkeypatch.setattr(vptree, "BLOCK_VALUES", 40)
+    draw = np.random.default_rng(3)
+    vectors = {i: draw.standard_normal(8 if i % 3 else 5) for i in range(150)}
+    table = llm.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    trees = vptree.index(llm, table, shard_rows=20)
+    queries = table.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    asked = queries.select("query_id", "embedding")
+    blocks = list(vptree.query_blocks(asked))
+    assert len(blocks) >= 3 and sum(len(b.first()["ids"]) for b in blocks) == 15
+    got = {}
+    for r in vptree.nearest(llm, trees, queries, k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for q in range(0, 150, 10):
+        ids = np.array([i for i, v in vectors.items() if len(v) == len(vectors[q])])
+        same = np.stack([vectors[i] for i in ids])
+        assert got[q] == brute(ids, same, int(np.flatnonzero(ids == q)[0]), 3)
+    plan = trees.join(vptree.F.broadcast(blocks[0]), "dim")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    before_scan = plan[: plan.index("Scan parquet")] if plan.index("Scan parquet") < plan.index("BroadcastExchange") else plan
+    assert "Exchange hashpartitioning" not in before_scan

@@ -10,6 +10,7 @@ from ..functions.typing import clock
 
 def with_origin(landed: DataFrame, now: Column | None = None) -> DataFrame:
     """All landed fields plus the file a row came from and its arrival time."""
+    # The names of the two columns and what they hold.
     return landed.select(
         "*",
         F.col("_metadata.file_path").alias("source_file"),

@@ -67,6 +67,7 @@ def generation_fact_rows(
     now: Column | None = None,
     floor: bool = False,
 ) -> DataFrame:
+    # The columns of the fact.
     return with_time_keys(readings, dates, times, floor).select(
         "start_date_id",
         "start_time_id",
@@ -84,6 +85,7 @@ def consumption_fact_rows(
     now: Column | None = None,
     floor: bool = False,
 ) -> DataFrame:
+    # The columns of the fact.
     return with_time_keys(readings, dates, times, floor).select(
         "start_date_id",
         "start_time_id",

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Words, components, least_within, mix, segments, signed, small_side, stored, text_runs
+from .shared import Words, components, least_within, mix, same_columns, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
 SLOTS, KEYED, CHUNK = 256, 64, 4
@@ -251,6 +251,7 @@ def op3(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return NearDuplicates(spark, docs).result()
 
 
+@same_columns
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of each group of near copies: the smallest doc_id's (NULL last), whatever ids its
     rows share with others. Rows without words all stay."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import BLANK_RUN, BLANKS, stored
+from .shared import BLANKS, BLANK_RUN, same_columns, stored
 
 # Fixed values of the mix: weights in the order of the sources, and how often a
 # source may be repeated at most.
@@ -85,6 +85,7 @@ def plan(spark: SparkSession, docs: DataFrame, seed: int = 0) -> DataFrame:
     )
 
 
+@same_columns
 def mixed(spark: SparkSession, docs: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of the mix, all columns kept, each document as often as it is taken.
 

@@ -3,8 +3,9 @@ broadcasts, connected components, and word hashes of whole texts."""
 
 from __future__ import annotations
 
+import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,24 @@ def stored(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def same_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage that returns the columns it got. Its own names begin with ``_``, so columns of the
+    documents that do are called otherwise while it runs."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, *args, **options) -> DataFrame:
+        given = docs.columns
+        if not any(name.startswith("_") for name in given):
+            return stage(spark, docs, *args, **options)
+        mark = "given"
+        while any(name.startswith(mark) for name in given):
+            mark += "_"
+        aside = docs.toDF(*[f"{mark}{k}" if name.startswith("_") else name for k, name in enumerate(given)])
+        return stage(spark, aside, *args, **options).select(*aside.columns).toDF(*given)
+
+    return run
+
+
 def small_side(frame: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``frame`` marked for broadcast if its counted rows are few; else as it is, for a shuffle join."""
     return F.broadcast(frame) if (frame.count() if rows is None else rows) <= limit else frame

@@ -14,7 +14,7 @@ nothing is shuffled but labels, ids and scores.
 
 Defined cases: NULL and empty texts get the score of a text without words; an id
 without a label, or a NULL id, is only scored; repeated rows are scored alike;
-several labels of one id count as the largest; without labelled rows all scores are 0.
+several labels of one id count as the largest; without labelled rows, or with labels of one kind only, all scores are 0.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .shared import Words, small_side, text_runs
+from .shared import Words, same_columns, small_side, text_runs
 
 PREFIXES = (4, 6, 7)
 BUCKETS = 1 << 22
@@ -224,7 +224,8 @@ def known_labels(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, pa.Array] | None:
-    """The model from the labelled rows that are not held out, and the ids it is fitted on; None without any."""
+    """The model from the labelled rows that are not held out, and the ids it is fitted on; None without any, and where
+    all of them are labelled alike, which teaches nothing."""
     known = known_labels(labels).withColumn("_order", F.xxhash64("doc_id"))
     # Twice the sample, as long texts are left out of it; both are fixed numbers of rows.
     chosen = known.orderBy("_order", "doc_id").limit(2 * sample).withColumnRenamed("doc_id", "_id")
@@ -241,6 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model
         return None
     _, _, data, offsets = next(iter(text_runs(rows.column("text"), most=1 << 62)))
     y = (rows.column("toxic").to_numpy() > 0).astype(np.float64)
+    if y.min() == y.max():
+        return None
     model = train(y, data, offsets)
     return model, rows.column("doc_id").combine_chunks().take(pa.array(model.fitted))
 
@@ -305,6 +308,7 @@ def op6(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@same_columns
 def cleaned(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below the threshold of their language."""
     return scored(spark, docs, labels).where("_score < _threshold").select(*docs.columns)

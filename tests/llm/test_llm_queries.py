@@ -71,6 +71,23 @@ def test_odd_stages_keep_columns(llm, odd):
         out.collect()
 
 
+OWN_NAMES = ("_key", "_row", "_copy", "_rate", "_goal_source", "_score", "_threshold", "_gone", "_kept_text", "_at", "given0")
+
+
+def test_columns_named_as_the_stages_own(llm, documents):
+    """They come back as they were, whatever a stage calls its own."""
+    rows = [(i, f"Text number {i} is a good and clean one.\nIts second line has {i} words.", "en", "ab"[i % 2]) for i in range(12)]
+    docs = documents(rows).selectExpr("*", *[f"'{n} of ' || doc_id AS {n}" for n in OWN_NAMES])
+    labels = llm.createDataFrame([(i, 1, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    stages = [line_dedup.deduplicated, minhash.deduplicated, mixing.mixed, lambda s, d: toxicity.cleaned(s, d, labels)]
+    for stage in stages:
+        out = stage(llm, docs)
+        assert out.columns == docs.columns
+        left = out.collect()
+        assert all(r[n] == f"{n} of {r['doc_id']}" for r in left for n in OWN_NAMES)
+    assert len(minhash.deduplicated(llm, docs).collect()) >= 1
+
+
 def test_odd_pages(llm):
     pages = llm.createDataFrame(
         [(1, None, None), (2, "no scheme", "x"), (3, "HTTP://A.NET", None), (4, "http://a.net/", "<link rel=canonical href='/b'>"), (None, "", "")],

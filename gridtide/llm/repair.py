@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,16 +48,11 @@ class WordEncoder:
     """Encodes words, each distinct one once. The tokenizer drops blanks and no merge
     crosses them, so the ids of a text are those of its words in order."""
 
-    MARK = "\x01"
-
     def __init__(self, name: str = VOCABULARY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
-        mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
-        assert len(mark) == 1
-        self.mark = mark[0]
         self.size = self.tokenizer.get_vocab_size()
         self._forget()
 
@@ -66,15 +62,13 @@ class WordEncoder:
         self.starts, self.flat = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint16)
 
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words and how many each has: many words at a time, with a mark of one id between them."""
-        flat, lengths, mark = [], [], f" {self.MARK} ".encode()
+        """All ids of the words and how many each has."""
+        lists: list[list[int]] = []
         for lo in range(0, len(words), 2000):
-            joined = mark.join(words[lo : lo + 2000]).decode()
-            ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint16)
-            marks = ids == self.mark
-            flat.append(ids[~marks])
-            lengths.append(np.diff(np.concatenate([[-1], np.flatnonzero(marks), [len(ids)]])) - 1)
-        return np.concatenate(flat), np.concatenate(lengths)
+            many = self.tokenizer.encode_batch_fast([w.decode() for w in words[lo : lo + 2000]], add_special_tokens=False)
+            lists += [one.ids for one in many]
+        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        return np.fromiter(chain.from_iterable(lists), dtype=np.uint16, count=int(lengths.sum())), lengths
 
     def _direct(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
@@ -82,9 +76,19 @@ class WordEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
         raw = data.tobytes()
-        if b"<|" in raw or self.MARK.encode() in raw:  # names of special tokens are told by case: such runs are encoded whole
-            lists = [self._direct(data[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:])]
-            return np.concatenate(lists) if lists else np.zeros(0, np.uint16), np.array([len(x) for x in lists], dtype=np.int64)
+        ids, lengths = self._by_words(raw, data, offsets)
+        if b"<|" not in raw:
+            return ids, lengths
+        # Names of special tokens are told by case and may span blanks: a text with one is encoded whole.
+        parts, at, ends = [], 0, np.cumsum(lengths)
+        for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            if b"<|" in raw[a:b]:
+                own = self._direct(raw[a:b].decode())
+                parts += [ids[at : ends[k] - lengths[k]], own]
+                at, lengths[k] = ends[k], len(own)
+        return np.concatenate([*parts, ids[at:]]), lengths
+
+    def _by_words(self, raw: bytes, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = Words(data, offsets)
         distinct, example, place = np.unique(found.hashes, return_index=True, return_inverse=True)
         if len(self.keys) > CACHE_WORDS:

@@ -482,3 +482,16 @@ def test_mix_near_targets(llm, documents):
     assert all(abs(taken[s] - want[s]) <= 0.15 * want[s] + 60 for s in order)
     copies = Counter(r["doc_id"] for r in mixing.mixed(llm, docs).collect())
     assert copies == Counter({r["doc_id"]: r["copies"] for r in out if r["copies"]})
+
+
+def test_only_texts_with_special_names_are_encoded_whole(monkeypatch):
+    texts = ["Plain words \x01 and more.", "with <|endoftext|> in it", "", "<| endoftext |>x", "Ünïcode wörds <", "| plain again"] * 3
+    encoder = repair.WordEncoder()
+    whole = []
+    direct = encoder._direct
+    monkeypatch.setattr(encoder, "_direct", lambda text: whole.append(text) or direct(text))
+    data = [t.encode() for t in texts]
+    ids, lengths = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for one in want for i in one] and lengths.tolist() == [len(one) for one in want]
+    assert set(whole) == {t for t in texts if "<|" in t}

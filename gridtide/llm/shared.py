@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import join_path, pin, work_folder
+from ..sources.tables import delete_folder
 
 # The characters that end a word.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -48,6 +49,27 @@ def stored(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class Tables:
+    """Tables written on the way, by purpose, that are deleted when their last reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[tuple[str, str]] = []
+
+    def stored(self, frame: DataFrame, purpose: str) -> DataFrame:
+        path, schema = work_folder(self.spark, purpose), frame.schema
+        frame.write.option("compression", "zstd").parquet(path)
+        self.paths.append((purpose, path))
+        return self.spark.read.schema(schema).parquet(path)
+
+    def done(self, *purposes: str) -> None:
+        """Delete the tables of these purposes, or all."""
+        for purpose, path in list(self.paths):
+            if not purposes or purpose in purposes:
+                delete_folder(self.spark, path)
+                self.paths.remove((purpose, path))
+
+
 def same_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A stage that returns the columns it got. Its own names begin with ``_``, so columns of the
     documents that do are called otherwise while it runs."""

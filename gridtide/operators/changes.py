@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import passes
-from .upsert import latest_per_key
+from .upsert import latest_per_key, newest_first
 
 # Columns of a history. Users of other change-data flows know them by these names.
 START_AT, END_AT = "__START_AT", "__END_AT"
@@ -125,33 +125,36 @@ class ChangeRule:
     def _intervals(self, state: DataFrame) -> DataFrame:
         """Every change once, the intervals it opens computed anew.
 
-        All windows share the keys, so one shuffle serves them; their frames only grow, so a key
-        takes time in proportion to its changes.
+        All windows go from a key's newest change to its oldest, so one shuffle and one sort serve them;
+        their frames only grow, so a key takes time in proportion to its changes.
         """
         names = [n for n in state.columns if n not in (HEAD, SHOWN, END_AT)]
-        moment = [*self.keys, self.sequence_by]
-        dealt = state.select(GONE, *[n for n in names if n != GONE]).repartition(*self.keys)
-        once = latest_per_key(dealt, moment, self.sequence_by)
-        forward = Window.partitionBy(*self.keys).orderBy(self.sequence_by)
-        backward = Window.partitionBy(*self.keys).orderBy(F.col(self.sequence_by).desc())
         plain = [n for n in names if n != GONE]
+        dealt = state.select(GONE, *plain).repartition(*self.keys)
+        sequence = F.col(self.sequence_by)
+        by_key = Window.partitionBy(*self.keys)
+        # Of the changes of one moment the first in this order stays. Its order begins with that of all other windows.
+        moment = by_key.orderBy(*newest_first(dealt.columns, self.keys, self.sequence_by))
+        once = dealt.withColumn(HEAD, ~F.lag(sequence).over(moment).eqNullSafe(sequence)).where(HEAD).drop(HEAD)
+        backward = by_key.orderBy(sequence.desc())
         hidden = self.untracked(plain)
-        tracked = [n for n in plain if n not in self.keys and n not in hidden]
-        former = F.lag(F.struct(GONE, *tracked)).over(forward)
-        # The first change of a key, one after a delete, or one of a tracked column opens an interval.
-        opens = ~F.col(GONE) & (~former.eqNullSafe(F.struct(GONE, *tracked)) if tracked else ~F.coalesce(~former[GONE], F.lit(False)))
-        if not hidden:
+        if hidden:
+            tracked = F.struct(GONE, *[n for n in plain if n not in self.keys and n not in hidden])
+            # The first change of a key, one after a delete, or one of a tracked column opens an interval.
+            opens = ~F.col(GONE) & ~F.lead(tracked).over(backward).eqNullSafe(tracked)
+        else:
             opens = ~F.col(GONE)
         marked = once.withColumn(HEAD, opens)
-        ends = F.when(F.col(HEAD) | F.col(GONE), F.col(self.sequence_by))
-        before = backward.rowsBetween(Window.unboundedPreceding, -1)
-        marked = marked.withColumn(END_AT, F.last(ends, ignorenulls=True).over(before))
+        bound = F.col(HEAD) | F.col(GONE)
+        ends = F.last(F.when(bound, sequence), ignorenulls=True).over(backward.rowsBetween(Window.unboundedPreceding, -1))
+        marked = marked.withColumn(END_AT, ends)
         if not hidden:
             return marked.select(*names, HEAD, END_AT)
-        # What an interval shows of the other columns is in its last change: the first, backward, with its end.
-        island = Window.partitionBy(*self.keys, END_AT).orderBy(F.col(self.sequence_by).desc())
-        shown = F.first(F.when(~F.col(GONE), F.struct(*hidden))).over(island.rowsBetween(Window.unboundedPreceding, 0))
-        return marked.withColumn(SHOWN, shown).select(*names, HEAD, END_AT, SHOWN)
+        # What an interval shows of the other columns is in its last change, the one that none or a bound follows.
+        newest = F.when(F.coalesce(F.lag(bound).over(backward), F.lit(True)) & ~F.col(GONE), F.struct(*hidden))
+        shown = F.last(F.col(SHOWN), ignorenulls=True).over(backward.rowsBetween(Window.unboundedPreceding, 0))
+        marked = marked.withColumn(SHOWN, newest).withColumn(SHOWN, F.when(~F.col(GONE), shown))
+        return marked.select(*names, HEAD, END_AT, SHOWN)
 
     # --- state -> rows ---------------------------------------------------------------------------
 

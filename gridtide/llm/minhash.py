@@ -1,7 +1,7 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A document's set are its distinct word shingles. Of SLOTS minimum hashes, b = 4 bits
-each make its signature; the first KEYED slots are split into chunks of four. Two
+each make its signature, kept as bit planes; the first KEYED slots are split into chunks of four. Two
 documents that differ in at most 2 * CHUNKS - 1 = 31 of these slots have, by the
 pigeonhole principle, a chunk with at most one differing slot; so each chunk gives
 a key for each place where that one error may be (three of its four slots), and
@@ -13,8 +13,8 @@ deviations above the mean at 0.75), and then confirmed on full sets.
 Hot groups: documents with equal sets are one class from the beginning. In a
 bucket, each class is first compared with some pivots only, the member that meets most
 others and PIVOTS drawn by hash; this is linear in the bucket. Then only classes that
-are not connected yet are compared with each other, with the distance inside the join,
-and at the first key they share only. So a group of near copies costs about its size
+are not connected yet are compared with each other, with the distance inside the join (a few
+operations on longs a pair, as buckets of dissimilar members stay open), and at the first key they share only. So a group of near copies costs about its size
 and not its square, and no pair of the pigeonhole guarantee goes untested unless its
 ends are connected already. Texts are read by scans, not shuffled; full sets are
 made only for the classes in candidate pairs.
@@ -33,18 +33,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Words, components, least_within, mix, same_columns, segments, signed, small_side, stored, text_runs
+from .shared import Words, components, mix, same_columns, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
-SLOTS, KEYED, CHUNK = 256, 64, 4
+SLOTS, KEYED, CHUNK = 512, 64, 4
 CHUNKS = KEYED // CHUNK
-MOST_DIFFERING = 90
+BITS = 4
+PLANES = SLOTS // 64 * BITS  # longs of a signature: of every 64 slots one long for each bit
+MOST_DIFFERING = 162
 PIVOTS = 16
 SIMILAR = (75, 100)
 
 _draw = np.random.default_rng(20240229)
-_XOR = _draw.integers(0, 1 << 63, SLOTS, dtype=np.uint64)
-_ODD = _draw.integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _draw.integers(0, 1 << 63, KEYED, dtype=np.uint64)
+_ODD = _draw.integers(0, 1 << 63, KEYED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# The slots without keys are told by 4 bits only, so 32-bit hashes do.
+_XOR_MORE = _draw.integers(0, 1 << 32, SLOTS - KEYED, dtype=np.uint32)
+_ODD_MORE = _draw.integers(0, 1 << 31, SLOTS - KEYED, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLACE = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -90,11 +95,14 @@ def _sketches(batches):
             n = np.diff(first)
             node = _node(sets, first)
             slots = np.zeros((hi - lo, SLOTS), dtype=np.uint64)
-            for k in range(SLOTS):
+            for k in range(KEYED):
                 slots[:, k] = segments((sets ^ _XOR[k]) * _ODD[k], first, np.minimum)
+            short = sets.astype(np.uint32)
+            for k in range(SLOTS - KEYED):
+                slots[:, KEYED + k] = segments((short ^ _XOR_MORE[k]) * _ODD_MORE[k], first, np.minimum)
             slots = mix(slots)
-            half = (slots >> np.uint64(60)).astype(np.uint8)
-            bits = np.ascontiguousarray(half[:, ::2] | half[:, 1::2] << 4).view("<i8")
+            half = (slots >> np.uint64(64 - BITS)).astype(np.uint8)
+            bits = np.hstack([np.packbits(half >> bit & 1, axis=1).view("<i8") for bit in range(BITS)])
             keys = np.zeros((hi - lo, KEYED), dtype=np.uint64)
             for c in range(CHUNKS):
                 for hole, kept in enumerate(masks):
@@ -141,14 +149,22 @@ def _full_sets(batches):
             )
 
 
-def differing(a: Column, b: Column) -> Column:
-    """Slots that differ between two sketches: half bytes of the exclusive or that are not 0."""
+def flat(frame: DataFrame, prefix: str = "") -> DataFrame:
+    """The frame with a column that is never NULL for each long of the sketch: a join compares these in compiled code."""
+    planes = [F.coalesce(F.get("sketch", F.lit(k)), F.lit(0)).alias(f"s{k}") for k in range(PLANES)]
+    out = frame.select(*[c for c in frame.columns if c != "sketch"], *planes)
+    return out.toDF(*[prefix + c for c in out.columns])
+
+
+def differing(prefix: str) -> Column:
+    """Slots in which two flat sketches differ in any bit, the other's columns with a prefix. Each column is used once."""
     total = F.lit(0)
-    for k in range(SLOTS // 16):
-        x = a[k].bitwiseXOR(b[k])
-        for shift in (2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    for k in range(SLOTS // 64):
+        some = None
+        for plane in range(k, PLANES, SLOTS // 64):
+            x = F.col(f"s{plane}").bitwiseXOR(F.col(f"{prefix}s{plane}"))
+            some = x if some is None else some.bitwiseOR(x)
+        total = total + F.bit_count(some)
     return total
 
 
@@ -177,9 +193,11 @@ class NearDuplicates:
         hubs = members.groupBy("node").agg(F.sum("met").alias("hub"))
         return members.drop("met").join(self.classes.join(hubs, "node").select("node", "n", "sketch", "hub"), "node")
 
-    def may_link(self, n1: Column, n2: Column, s1: Column, s2: Column) -> Column:
+    def may_link(self, prefix: str) -> Column:
+        """Of rows of two flat frames, the other's columns with a prefix."""
         part, whole = self.similar
-        return (F.least(n1, n2) * whole >= F.greatest(n1, n2) * part) & (differing(s1, s2) <= MOST_DIFFERING)
+        n1, n2 = F.col("n"), F.col(prefix + "n")
+        return (n1 * whole >= n2 * part) & (n2 * whole >= n1 * part) & (differing(prefix) <= MOST_DIFFERING)
 
     def pivot_pairs(self, members: DataFrame) -> DataFrame:
         """Each member of a bucket with the member that meets most others, and with one
@@ -188,10 +206,10 @@ class NearDuplicates:
         drawn = F.xxhash64("node", F.pmod("key", F.lit(PIVOTS)))
         lead = members.groupBy("key").agg(F.max_by(one, F.struct("hub", "node")).alias("h"), F.min_by(one, F.struct(drawn, "node")).alias("d"))
         both = F.explode(F.array_distinct(F.array("h", "d")))
-        lead = lead.select("key", both.alias("p")).select("key", "p.*").toDF("key", "pivot", "pn", "ps")
-        ok = (F.col("node") != F.col("pivot")) & self.may_link(F.col("n"), F.col("pn"), F.col("sketch"), F.col("ps"))
-        pairs = members.join(lead, "key").where(ok)
-        return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        lead = flat(lead.select("key", both.alias("p")).select("key", "p.*"), "p_")
+        ok = (F.col("node") != F.col("p_node")) & self.may_link("p_")
+        pairs = flat(members.drop("hub")).join(lead, (F.col("key") == F.col("p_key")) & ok)
+        return pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 
     def open_pairs(self, members: DataFrame, roots: DataFrame) -> DataFrame:
         """Pairs within a bucket whose ends are not known to be connected, each at the first key it shares."""
@@ -201,10 +219,10 @@ class NearDuplicates:
         # Shared keys are told by 32 bits here: 64 short keys a row.
         own = open_keys.groupBy("node").agg(F.sort_array(F.collect_list(F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))).alias("own"))
         open_rows = stored(self.spark, open_keys.join(own, "node"), "open")
-        left = open_rows.toDF(*["l_" + c for c in open_rows.columns])
-        ok = (F.col("l_root") < F.col("root")) & self.may_link(F.col("l_n"), F.col("n"), F.col("l_sketch"), F.col("sketch"))
+        left, right = flat(open_rows, "l_"), flat(open_rows)
+        ok = (F.col("l_root") < F.col("root")) & self.may_link("l_")
         first = F.get(F.array_intersect("l_own", "own"), 0) == F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-        met = left.join(open_rows, (F.col("l_key") == F.col("key")) & ok & first)
+        met = left.join(right, (F.col("l_key") == F.col("key")) & ok & first)
         return met.select(F.least("l_node", "node").alias("a"), F.greatest("l_node", "node").alias("b")).distinct()
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
@@ -231,10 +249,10 @@ class NearDuplicates:
         """(node, root, component): the group of linked classes, and the smallest doc_id in it."""
         members = stored(self.spark, self.buckets(), "members")
         links = stored(self.spark, self.confirmed(self.pivot_pairs(members)), "links")
-        # A few steps reach all members around shared pivots; what they miss only stays open.
-        near = stored(self.spark, least_within(links, 5), "near")
+        # One row a class from here on, however many pivots it met.
+        near = stored(self.spark, components(self.spark, links), "near")
         more = self.confirmed(self.open_pairs(members, near))
-        roots = components(self.spark, near.toDF("a", "b").union(links).union(more))
+        roots = components(self.spark, near.toDF("a", "b").union(more))
         named = self.classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component"))
         return named.join(smallest, "root").select("node", "root", "component")

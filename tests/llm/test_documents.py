@@ -304,6 +304,30 @@ def test_pigeonhole_guarantee():
         assert (differ.reshape(-1, minhash.CHUNK).sum(axis=1) <= 1).any()
 
 
+def test_open_buckets_of_dissimilar_members(llm, documents):
+    """A bucket whose members mostly are not similar makes few candidate pairs, and loses no link."""
+    draw = random.Random(31)
+    base = prose(draw, 150, 5000).split(" ")
+    rows = []
+    for i in range(150):
+        at = sorted(draw.sample(range(150), 4))
+        rows.append((i, " ".join(f"{w}{i}" if k in at else w for k, w in enumerate(base))))
+    sets = {d: {tuple(t.split(" ")[i : i + 5]) for i in range(146)} for d, t in rows}
+    root, pairs = {d: d for d in sets}, 0
+    for a in sets:
+        for b in sets:
+            common, whole = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            pairs += a < b and 100 * common >= 64 * whole
+            if a < b and 100 * common >= 75 * whole:
+                x, y = root[a], root[b]
+                root = {d: min(x, y) if r in (x, y) else r for d, r in root.items()}
+    found = minhash.NearDuplicates(llm, documents(rows))
+    members = found.buckets()
+    none = llm.createDataFrame([], "node long, root long")
+    assert found.open_pairs(members, none).count() <= 1.2 * pairs
+    assert {r["doc_id"]: r["component_id"] for r in found.result().collect()} == root
+
+
 def test_toxicity_held_out(llm, documents):
     draw = random.Random(8)
     rows, labels = [], []

@@ -239,6 +239,42 @@ def test_near_lines_by_edits_alone(llm, documents):
     assert got == {i: int(f != i) for i, f in enumerate(first)}
 
 
+def test_met_keys_by_brute_force(llm):
+    """Keys of several classes are found with their classes, over parts and runs of held keys."""
+    draw = np.random.default_rng(12)
+    n, masks = 3000, line_dedup.block_masks()
+    sim = draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+    sim[:40] = sim[40:80]
+    lists = [draw.integers(0, 1 << 12, draw.integers(1, 29)).tolist() for _ in range(n)]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    keys, of = line_dedup.class_keys(sim, np.concatenate(lists).astype(np.uint32), first, masks)
+    holders = defaultdict(list)
+    for key, node in zip(keys.tolist(), (of * 5 + 7).tolist()):
+        holders[key].append(node)
+    want = sorted((key, node) for key, nodes in holders.items() if len(nodes) > 1 for node in nodes)
+    alike = {frozenset(nodes) for nodes in holders.values() if len(nodes) == 2}
+    assert all(frozenset((i * 5 + 7, i * 5 + 207)) in alike for i in range(40))
+    for i in range(0, n - 1, 2):
+        for k, (x, y) in enumerate(zip(lists[i], lists[i + 1])):
+            assert x != y or {i * 5 + 7, i * 5 + 12} <= {b for _, b in want}, k
+    rows = [(i * 5 + 7, int(s) - (1 << 64) if s >> np.uint64(63) else int(s), x) for i, (s, x) in enumerate(zip(sim, lists))]
+    finder = line_dedup.LineDedup.__new__(line_dedup.LineDedup)
+    finder.masks = masks
+    got = finder.met_keys(llm.createDataFrame(rows, "node long, sim long, bands array<int>").repartition(3))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_sketches_are_not_kept(llm, documents):
+    """Lines are not written with their sketches, and keys go with their last reader."""
+    draw = random.Random(5)
+    finder = line_dedup.LineDedup(llm, documents([(i, prose(draw, 40, 900) + "\n" + prose(draw, 30, 900)) for i in range(60)]))
+    assert {purpose for purpose, _ in finder.tables.paths} == {"met-keys", "line-classes"}
+    assert "bands" not in finder.classes.columns and "sketch" not in finder.lines.columns
+    finder.groups()
+    assert "met-keys" not in {purpose for purpose, _ in finder.tables.paths}
+    finder.tables.done()
+
+
 def test_short_lines_and_lines_without_blanks(llm, documents):
     han = "".join(chr(0x4E00 + 37 * i % 2000) for i in range(80))
     texts = ["Accept all cookies\nfirst own words", f"accept ALL cookies!\n{han}\n---", f"{han}\n---\nShare", f"share\n{han[:40]}\u3042{han[41:]}\nfirst other words"]

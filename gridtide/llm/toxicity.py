@@ -36,6 +36,7 @@ DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 PAD = max(WIDTHS)
 SAMPLE, SAMPLE_CHARS = 8000, 20_000
 SEEN_IN = 4  # buckets in fewer sample texts are not trained
+RUN_BYTES = 1 << 19  # of texts scored at once: their places take some 100 times that memory
 CUT = 0.3  # fixed value: the cut of ``predicted``
 LANGUAGE_POSITIVES = 15
 GRID = tuple(round(0.1 + 0.05 * i, 2) for i in range(13))  # the thresholds to choose from
@@ -248,11 +249,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model
     return model, rows.column("doc_id").combine_chunks().take(pa.array(model.fitted))
 
 
-def _score(shared):
+def _score(shared, fitted=None):
+    """Batches with the score of each row; rows of the ``fitted`` ids are left out."""
+
     def run(batches):
         model = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in text_runs(batch.column("text")):
+            if fitted is not None:
+                batch = batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), value_set=fitted.value)))
+            for lo, hi, data, offsets in text_runs(batch.column("text"), RUN_BYTES):
                 got = scores(model, *buckets_of(data, offsets))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(lo, hi - lo) for c in range(batch.num_columns)), pa.array(got)], names=[*batch.schema.names, "_score"]
@@ -261,20 +266,12 @@ def _score(shared):
     return run
 
 
-def _without(fitted):
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), value_set=fitted.value)))
-
-    return run
-
-
 def reached(spark: SparkSession, docs: DataFrame, labels: DataFrame, shared, fitted: pa.Array) -> DataFrame:
     """(lang, toxic, reached, n): rows by how many thresholds of GRID they reach, over all labelled
     rows that are neither held out nor fitted on. Texts stay in the task that reads them."""
     own = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & ~held_out())
-    own = own.mapInArrow(_without(spark.sparkContext.broadcast(fitted)), own.schema)
-    got = own.mapInArrow(_score(shared), StructType([*own.schema.fields, StructField("_score", DoubleType())]))
+    # One Python worker a task: each takes memory, and keeps it for the tasks that follow.
+    got = own.mapInArrow(_score(shared, spark.sparkContext.broadcast(fitted)), StructType([*own.schema.fields, StructField("_score", DoubleType())]))
     steps = sum(((F.col("_score") >= t).cast("int") for t in GRID), F.lit(0))
     known = known_labels(labels).select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     met = got.select("doc_id", "lang", steps.alias("reached")).join(small_side(known), F.col("doc_id") == F.col("_id"))

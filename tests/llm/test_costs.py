@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridtide.llm import toxicity
+from gridtide.llm import repair, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -46,3 +46,22 @@ def test_toxicity_scores_some_texts_at_a_time(toxic_model):
     want = toxicity.scores(toxic_model, *toxicity.buckets_of(np.frombuffer(whole, np.uint8), offsets))
     assert [d for b in got for d in b.column("doc_id").to_pylist()] == list(range(62))
     assert np.allclose(np.concatenate([b.column("_score").to_numpy() for b in got]), want, atol=1e-12)
+
+def test_parts_of_words_have_the_ids_of_whole_texts():
+    """The encoder keeps parts of words; what stands around a part does not change its ids."""
+    encoder = repair.WordEncoder()
+    ends = ["Don't", "x's", "'s'S", "-'s", "a1b22", "é", "É.", "é.", ".é", "1́", "≠", "×a×", "a÷", "ª1", "ΣΣ.", "a—,b", "一二3.", "<|a|>", "a~~b", "x_y", "\x1ca\x1d", "a b.", " ", "İx", "\U0001f600!!"]
+    texts = [*ends, *(a + b for a in ends for b in ends), *(f"{a} {b}" for a in ends for b in ends), "", " "]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    ids, lengths = encoder.encode(np.frombuffer(b"".join(data), np.uint8), offsets)
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert lengths.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_equal_words_with_other_signs_are_encoded_once():
+    encoder = repair.WordEncoder()
+    words = ["word", "word,", "(word)", "Word.", "word!!", "word12"]
+    encoder.encode(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))
+    assert len(encoder.keys) == len({"word", ",", "(", ")", ".", "!!", "1", "2"})

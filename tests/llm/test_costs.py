@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridtide.llm import repair, toxicity
+from gridtide.llm import lm, repair, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,48 @@ def test_equal_words_with_other_signs_are_encoded_once():
     words = ["word", "word,", "(word)", "Word.", "word!!", "word12"]
     encoder.encode(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))
     assert len(encoder.keys) == len({"word", ",", "(", ")", ".", "!!", "1", "2"})
+
+
+def test_subwords_of_many_words_at_once_are_those_of_each():
+    subwords = lm.Subwords()
+    words = ["don't", "'s", "x's", "a1", "12", "...", "é", "É", "ñandú!", "a ", " a", " ", "  ", "a b", "—", "　", "a\x1cb", "\x1d", "\u0085", " x", "日本", "<|endoftext|>", "x" * 300]
+    words = words * 3 + [f"word{k}" for k in range(5000)] + words
+    data = [w.encode() for w in words]
+    ends = np.cumsum([len(d) for d in data])
+    starts = ends - [len(d) for d in data]
+    calls, one = [], subwords.enc.encode_to_numpy
+    subwords.enc = type("Counted", (), {"encode_to_numpy": lambda self, *a, **k: calls.append(1) or one(*a, **k)})()
+    flat, lengths = subwords._learn(np.frombuffer(b"".join(data), np.uint8), starts, ends)
+    want = [lm.encoding().encode_ordinary(" " + d.lower().decode()) for d in data]
+    assert lengths.tolist() == [len(x) for x in want]
+    assert flat.tolist() == [i for x in want for i in x]
+    assert len(calls) < 200  # one a word before
+
+
+@pytest.mark.parametrize("scale", [1.0, 200.0], ids=["flat", "steep"])
+def test_scores_of_classes_with_and_without_row_maxima(scale):
+    draw = np.random.default_rng(3)
+    w = {n: (draw.standard_normal(s) * (0.3 if len(s) > 1 else 0.1)).astype(np.float32) for n, s in lm._PARAMETERS.items() if n != "embed"}
+    w["out"], w["query"] = w["out"] * np.float32(scale), w["query"] * np.float32(scale)
+    net = lm.Network(np.zeros(lm.SUBWORDS, np.uint8), w)
+    vectors = draw.standard_normal((50, lm.DIM)).astype(np.float32)
+    classes, first = draw.integers(0, lm.CLASSES, 50), np.array([0, 0, 7, 100, 140])
+    place = draw.integers(0, 50, 140)
+    got = lm.class_scores(net, vectors, classes, place, first)
+    x, full, begin, words, predictions = lm.inputs(w, vectors, place, first)
+    state = lm.attention(w, x, full)[-1][predictions].astype(np.float64)
+    z = state @ w["out"] + w["bias"]
+    target = np.full(len(x), lm.END)
+    target[words - 1] = classes[place]
+    want = (z[np.arange(len(z)), target[predictions]] - z.max(axis=1) - np.log(np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1))) / np.log(10)
+    assert np.isfinite(got).all()
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-4 * scale)
+
+
+def test_means_of_subwords_of_words_of_any_length():
+    draw = np.random.default_rng(4)
+    embed = draw.standard_normal((lm.SUBWORDS, lm.DIM)).astype(np.float32)
+    lengths = np.array([1, 2, 3, 7, 8, 9, 20, 1, 4])
+    flat = draw.integers(0, lm.SUBWORDS, lengths.sum())
+    got = lm.word_vectors(embed, flat, lengths)
+    assert np.array_equal(got, np.add.reduceat(embed[flat], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None].astype(np.float32))

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Words, components, mix, same_columns, segments, signed, small_side, stored, text_runs
+from .shared import RUN_BYTES, Words, components, mix, same_columns, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
 SLOTS, KEYED, CHUNK = 512, 64, 4
@@ -90,7 +90,7 @@ def _sketches(batches):
     """For each text: size and hash of its set, 4 bits per slot as longs, and its keys."""
     masks = [[i for i in range(CHUNK) if i != hole] for hole in range(CHUNK)]
     for batch in batches:
-        for lo, hi, data, offsets in text_runs(batch.column("text")):
+        for lo, hi, data, offsets in text_runs(batch.column("text"), RUN_BYTES):
             sets, first = shingle_sets(Words(data, offsets))
             n = np.diff(first)
             node = _node(sets, first)
@@ -140,7 +140,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _full_sets(batches):
     for batch in batches:
-        for lo, hi, data, offsets in text_runs(batch.column("text")):
+        for lo, hi, data, offsets in text_runs(batch.column("text"), RUN_BYTES):
             sets, first = shingle_sets(Words(data, offsets))
             own = pa.array(signed(_node(sets, first)))
             yield pa.RecordBatch.from_arrays(

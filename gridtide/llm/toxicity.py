@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .shared import Words, same_columns, small_side, text_runs
+from .shared import RUN_BYTES, Words, same_columns, small_side, text_runs
 
 PREFIXES = (4, 6, 7)
 BUCKETS = 1 << 22
@@ -36,7 +36,6 @@ DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 PAD = max(WIDTHS)
 SAMPLE, SAMPLE_CHARS = 8000, 20_000
 SEEN_IN = 4  # buckets in fewer sample texts are not trained
-RUN_BYTES = 1 << 19  # of texts scored at once: their places take some 100 times that memory
 CUT = 0.3  # fixed value: the cut of ``predicted``
 LANGUAGE_POSITIVES = 15
 GRID = tuple(round(0.1 + 0.05 * i, 2) for i in range(13))  # the thresholds to choose from

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridtide.llm import lm, repair, toxicity
+from gridtide.llm import line_dedup, lm, minhash, repair, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +110,15 @@ def test_means_of_subwords_of_words_of_any_length():
     flat = draw.integers(0, lm.SUBWORDS, lengths.sum())
     got = lm.word_vectors(embed, flat, lengths)
     assert np.array_equal(got, np.add.reduceat(embed[flat], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None].astype(np.float32))
+
+
+@pytest.mark.parametrize("step", [line_dedup._lines(line_dedup.SIMILAR), minhash._sketches, minhash._full_sets], ids=["lines", "sketches", "sets"])
+def test_lines_and_shingles_come_from_some_texts_at_a_time(step):
+    """Memory of a worker follows the bytes looked at once; the rows are those of all texts at once."""
+    texts = [f"Some line {k} of words.\n" * 1000 for k in range(70)] + [None, ""]
+    ids = list(range(len(texts)))
+    batch = pa.RecordBatch.from_pydict({"key": ids, "row": ids, "node": ids, "doc_id": ids, "text": pa.array(texts)})
+    got = list(step([batch]))
+    assert len(got) >= sum(len(t or "") for t in texts) / (1 << 19)
+    one_by_one = [b for k in ids for b in step([batch.slice(k, 1)])]
+    assert pa.Table.from_batches(got).to_pylist() == pa.Table.from_batches(one_by_one).to_pylist()

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import RUN_BYTES, Words, components, mix, same_columns, segments, signed, small_side, stored, text_runs
+from .shared import RUN_BYTES, Words, components, lean, mix, same_columns, segments, signed, small_side, stored, text_runs
 
 SHINGLE = 5
 SLOTS, KEYED, CHUNK = 512, 64, 4
@@ -135,7 +135,7 @@ def row_key() -> Column:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    return docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketches, SKETCH)
+    return docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(_sketches), SKETCH)
 
 
 def _full_sets(batches):
@@ -237,7 +237,7 @@ class NearDuplicates:
             return pairs
         texts = self.docs.select(F.col("doc_id").cast("long").alias("text_id"), "text")
         texts = texts.join(small_side(holders, count), F.col("text_id").eqNullSafe(F.col("holder"))).select("node", "text")
-        sets = texts.mapInArrow(_full_sets, "node long, shingles array<long>")
+        sets = texts.mapInArrow(lean(_full_sets), "node long, shingles array<long>")
         # An id may stand for several texts: only the set that hashes to the class is its set.
         sets = stored(self.spark, sets.groupBy("node").agg(F.any_value("shingles").alias("shingles")).where("node IS NOT NULL"), "sets")
         both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")

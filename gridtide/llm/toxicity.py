@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .shared import RUN_BYTES, Words, same_columns, small_side, text_runs
+from .shared import RUN_BYTES, Words, lean, same_columns, small_side, text_runs
 
 PREFIXES = (4, 6, 7)
 BUCKETS = 1 << 22
@@ -270,7 +270,7 @@ def reached(spark: SparkSession, docs: DataFrame, labels: DataFrame, shared, fit
     rows that are neither held out nor fitted on. Texts stay in the task that reads them."""
     own = docs.select("doc_id", "lang", "text").where(F.col("doc_id").isNotNull() & ~held_out())
     # One Python worker a task: each takes memory, and keeps it for the tasks that follow.
-    got = own.mapInArrow(_score(shared, spark.sparkContext.broadcast(fitted)), StructType([*own.schema.fields, StructField("_score", DoubleType())]))
+    got = own.mapInArrow(lean(_score(shared, spark.sparkContext.broadcast(fitted))), StructType([*own.schema.fields, StructField("_score", DoubleType())]))
     steps = sum(((F.col("_score") >= t).cast("int") for t in GRID), F.lit(0))
     known = known_labels(labels).select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     met = got.select("doc_id", "lang", steps.alias("reached")).join(small_side(known), F.col("doc_id") == F.col("_id"))
@@ -286,7 +286,7 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame
     shared = spark.sparkContext.broadcast(model)
     thresholds = calibrated([tuple(r) for r in reached(spark, docs, labels, shared, fitted).collect()])
     schema = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
-    out = docs.mapInArrow(_score(shared), schema)
+    out = docs.mapInArrow(lean(_score(shared)), schema)
     threshold = F.lit(thresholds.pop(None))
     for lang, cut in thresholds.items():
         threshold = F.when(F.col("lang") == lang, F.lit(cut)).otherwise(threshold)

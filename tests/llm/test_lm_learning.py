@@ -88,3 +88,15 @@ def test_every_training_text_is_learned_from(llm, documents, monkeypatch):
     training = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10]
     assert sum(np.frombuffer(p["weights"])[0] for p in parts) == sum(i % 5 + 2 for i in training)
     assert len(parts) > 1 and np.isfinite(net.w["embed"]).all()
+
+
+def test_all_passes_at_any_size(llm, documents, monkeypatch):
+    """A corpus of many texts is gone over as often as one of few."""
+    calls, learnt = [], lm._learnt
+    monkeypatch.setattr(lm, "_learnt", lambda shared: calls.append(1) or learnt(shared))
+    found = {}
+    for n in (300, 6000):
+        calls.clear()
+        assert lm.scored(llm, documents([(i, f"word{i % 7} here") for i in range(n)])).count() == n
+        found[n] = len(calls)
+    assert found == {300: 3, 6000: 3}  # one round a pass

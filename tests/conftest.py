@@ -12,7 +12,7 @@ from gridtide.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", master="local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "6g"}
+        "tests", master="local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "6g", "spark.sql.ui.retainedExecutions": "100000"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
